@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: Query name -> module of this subpackage that holds it.
 HOMES = {
+    "op6_decontaminate": "decontaminate",
     "op7_bpe": "bpe",
     "op9_simhash": "simhash",
     "op10_sharding": "sharding",
