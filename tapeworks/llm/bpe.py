@@ -187,7 +187,9 @@ class Codec:
         return n, of_ids.hexdigest(), of_text.hexdigest()
 
 
-codec = lru_cache(maxsize=4)(Codec)
+@lru_cache(maxsize=4)
+def codec(path: str) -> Codec:
+    return Codec(path)
 
 
 def encode_documents(docs: DataFrame, vocab: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
