@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: Query name -> module of this subpackage that holds it.
 HOMES = {
+    "op1_toxicity": "toxicity",
     "op4_secrets": "secrets",
     "op6_decontaminate": "decontaminate",
     "op7_bpe": "bpe",

@@ -39,8 +39,8 @@ from tapeworks.llm.common import cut, table
 MAX_EXAMPLES = 20_000
 MAX_TERMS = 4096
 LEAST_COUNT = 5
-LEAST_SHARE = 0.65
-_Z = 2.58
+LEAST_SHARE = 0.62
+_Z = 1.96
 NEIGHBOURS = 15
 BLOCK = 64
 PREFIXES = (4, 5, 6)
