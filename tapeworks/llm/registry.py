@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: Query name -> module of this subpackage that holds it.
 HOMES = {
+    "op5_html": "html",
     "op2_ann": "ann",
     "op1_toxicity": "toxicity",
     "op4_secrets": "secrets",
