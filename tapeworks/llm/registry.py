@@ -6,6 +6,7 @@ from importlib import import_module
 
 #: Query name -> module of this subpackage that holds it.
 HOMES = {
+    "op8_suffix_dedup": "suffixes",
     "op3_line_dedup": "lines",
     "op5_html": "html",
     "op2_ann": "ann",
