@@ -230,5 +230,25 @@ def digest_documents(docs: DataFrame, vocab: str | None = None, id_col: str = "d
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
+def tokenise(docs: DataFrame, vocab: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256): the ids and their digests."""
+    encoded = encode_documents(docs, vocab, id_col, text_col)
+    vocab = vocab or default_vocab()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(vocab)
+        for batch in batches:
+            rows = [i.as_py() or [] for i in batch.column(1)]
+            of_ids = [hashlib.sha256(" ".join(map(c.names.__getitem__, ids)).encode()).hexdigest() for ids in rows]
+            of_text = [hashlib.sha256(c.decode(ids).encode()).hexdigest() for ids in rows]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(list(map(len, rows)), pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
+                names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    return encoded.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_documents(table(spark, sf_dir, "documents"))

@@ -60,7 +60,7 @@ def _text(n: Column) -> Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash."""
     items = cut(benchmark.select("item_id", words_of(F.col("text")).alias("words")).where(F.size("words") > 0), "items")
     short = sorted(r[0] for r in items.where(F.size("words") < window).select(F.size("words")).distinct().collect())
     sizes = [window, *short]
@@ -110,11 +110,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.array_join(F.coalesce("items", F.array().cast("array<string>")), ","), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        "text_hash",
     )
 
 
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the documents that hold any window of the benchmark; all columns stay."""
+    bad = cut(contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
+    few = bad.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(bad) if few else bad, [docs["doc_id"].eqNullSafe(bad["_doc"]), F.xxhash64(docs["text"]) == bad["_hash"]], "left_anti")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 ORACLE_SQL = r"""

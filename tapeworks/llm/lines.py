@@ -19,7 +19,8 @@ have only exact copies. All native DataFrame operations.
 
 Defined results: a null or empty text has no lines and stays as it is; blank lines are never
 copies and stay; rows that repeat doc_id and text are one document; ties go to the smaller
-doc_id; an empty table gives an empty result; other columns pass through ``dedup`` untouched.
+doc_id; an empty table gives an empty result; other columns pass through ``dedup`` untouched,
+but for ``n_chars``, which is counted anew where lines went.
 """
 
 from __future__ import annotations
@@ -221,7 +222,11 @@ def dedup(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     numbered = F.transform(lines_of(F.col("text")), lambda line, i: F.struct(i.alias("i"), line.alias("line")))
     kept = F.array_join(F.transform(F.filter(numbered, lambda x: ~F.array_contains(F.col("removed"), x["i"])), lambda x: x["line"]), "\n")
     rows = docs.withColumn("text_hash", F.xxhash64("text")) if "text_hash" not in docs.columns else docs
-    return _joined(rows, removed).withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
+    out = _joined(rows, removed).withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept))
+    if "n_chars" in docs.columns:
+        counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(counted))
+    return out.select(*docs.columns)
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,6 +37,7 @@ from tapeworks.llm.common import components, cut, table
 SHINGLE = 3
 RADIUS = 2
 SHARD_LIMIT = 20_000
+BROADCAST_IDS = 1_000_000
 _SEED = 42
 
 
@@ -212,5 +213,18 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     return marked.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keep_one_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with one document of each component, that with the smallest id; all columns stay.
+    Rows without an id stay; of rows that repeat an id, one does."""
+    gone = cut(near_duplicates(docs, radius, shingle).where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
+    few = gone.count() <= BROADCAST_IDS
+    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
+    if not repeated:
+        return kept
+    named = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    return named.unionByName(kept.where(F.col("doc_id").isNull()))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -249,6 +249,20 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
     )
 
 
+def remove_toxic(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows predicted toxic; all columns stay."""
+    index.prepare()
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([model.score(t.as_py())[0] < 0.5 for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score(docs, fit(docs, table(spark, sf_dir, "labels")))
