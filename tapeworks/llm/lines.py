@@ -34,6 +34,8 @@ EDITS = 2
 LEAST = 30
 CROWD = 512
 BROADCAST_IDS = 1_000_000
+#: Columns of the distance table between two looks at whether it can still end within EDITS.
+PIECE = 8
 
 
 def lines_of(text: Column) -> Column:
@@ -52,31 +54,32 @@ def occurrences(docs: DataFrame, with_text: bool = False) -> DataFrame:
     return rows.select("doc_id", "text_hash", "line_no", a.alias("id"), b.alias("id2"), *([F.trim("raw").alias("line")] if with_text else []))
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """(start from 1, size) of segment i (from 0) of a line of ``length``: sizes differ by one at most."""
+def _probes(edits: int) -> list[tuple[int, int, int]]:
+    """(delta, segment, shift) of every substring that a line looks up: delta is how much shorter
+    the indexed line is, shift the substring's place against the segment's. (0, i, 0) are the
+    line's own index entries."""
+    return [
+        (delta, i, shift)
+        for delta in range(edits + 1)
+        for i in range(edits + 1)
+        for shift in range(max(-i, delta - (edits - i)), min(i, delta + (edits - i)) + 1)
+    ]
+
+
+def signatures(lines: DataFrame, edits: int, under: str = "0", keep: tuple[str, ...] = ("id",)) -> DataFrame:
+    """Columns ``keep``, sig, own, at, width for every probe of lines(line, ...): own marks index
+    entries (which are probes too); at (from 1) and width place the substring in the line.
+    ``under`` is SQL for what the signatures belong to. Segments differ by one sign at most."""
     n = edits + 1
-    small = F.floor(length / n).cast("int")
-    short = F.lit(n) - (length - small * n)  # so many segments come first that are smaller
-    start = small * i + F.greatest(F.lit(i) - short, F.lit(0)).cast("int") + 1
-    return start, small + F.when(F.lit(i) >= short, 1).otherwise(0)
-
-
-def signatures(line: Column, edits: int, under: Column) -> Column:
-    """array<struct<sig, own, at, size>>: own: an index entry (and a probe); else a probe only.
-    at and size place the segment in the line."""
-    size, out = F.char_length(line), []
-    for delta in range(edits + 1):
-        length = size - delta
-        for i in range(edits + 1):
-            start, width = _segment(length, i, edits)
-            least = max(-i, delta - (edits - i))
-            most = min(i, delta + (edits - i))
-            for shift in range(least, most + 1):
-                at = start + shift
-                sig = F.xxhash64(under, length, F.lit(i), F.substring(line, at, width))
-                fits = (at >= 1) & (at + width - 1 <= size) & (width > 0)
-                out.append(F.when(fits, F.struct(sig.alias("sig"), F.lit(delta == 0 and shift == 0).alias("own"), at.alias("at"), width.alias("size"))))
-    return F.filter(F.array(*out), lambda s: s.isNotNull())
+    probe = F.array(*[F.struct(F.lit(d).alias("delta"), F.lit(i).alias("i"), F.lit(s).alias("shift")) for d, i, s in _probes(edits)])
+    sized = lines.select(*keep, "line", F.char_length("line").alias("size"))
+    each = sized.select(*keep, "line", "size", F.explode(probe).alias("p")).select(*keep, "line", "size", "p.*", F.expr("size - p.delta").alias("length"))
+    # of the n segments, n - length % n come first and are one sign shorter
+    small = each.select("*", F.expr(f"int(length div {n})").alias("small"), F.expr(f"{n} - length % {n}").alias("short"))
+    placed = small.select(
+        "*", F.expr("small * i + greatest(i - short, 0) + 1 + shift").alias("at"), F.expr("small + int(i >= short)").alias("width")
+    ).where("at >= 1 and width > 0 and at + width - 1 <= size")
+    return placed.select(*keep, F.expr(f"xxhash64({under}, length, i, substring(line, at, width))").alias("sig"), F.expr("delta = 0 and shift = 0").alias("own"), "at", "width", "line")
 
 
 def _bound(value: Column, use) -> Column:
@@ -97,11 +100,11 @@ def _common(a: Column, b: Column, from_end: bool) -> Column:
     return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), most.alias("hi")), step, lambda s: s["lo"])
 
 
-def _banded(a: Column, b: Column, edits: int) -> Column:
-    """Edit distance of sign arrays a and b if at most ``edits``, else more than that. Bit k of a
+def _banded(a: Column, b: Column, m: Column, n: Column, edits: int) -> Column:
+    """Edit distance of sign arrays a and b, of m and n signs, if at most ``edits``, else more. Bit k of a
     word stands for the diagonal k - edits; vertical differences are packed into vp and vn."""
     width = 2 * edits + 1
-    mask, m, n = (1 << width) - 1, F.size(a), F.size(b)
+    mask = (1 << width) - 1
 
     def step(s: Column, j: Column) -> Column:
         sign = F.get(b, j - 1)
@@ -128,8 +131,12 @@ def _banded(a: Column, b: Column, edits: int) -> Column:
 
         return _bound(equal, with_equal)
 
+    # the distance on the band's lowest diagonal can only fall by one a column after its end, so
+    # beyond this it is too far: whole pieces are skipped then
+    alive = lambda s: s["dist"] <= 2 * edits + n - m
     start = F.struct(F.lit(mask & ~((1 << edits) - 1)).alias("vp"), F.lit(0).alias("vn"), F.lit(edits).alias("dist"))
-    return F.aggregate(F.sequence(F.lit(1), n), start, step, lambda s: s["dist"])
+    piece = lambda s, at: F.when(alive(s), F.aggregate(F.sequence(at, F.least(at + (PIECE - 1), n)), s, step)).otherwise(s)
+    return F.aggregate(F.sequence(F.lit(1), n, F.lit(PIECE)), start, piece, lambda s: F.when(alive(s), s["dist"]).otherwise(edits + 1))
 
 
 def edit_distance(a: Column, b: Column, edits: int) -> Column:
@@ -140,8 +147,9 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
         # a pattern of at least `edits` signs lets the band start at its own corner
         pad = F.lit("\x00" * edits)
         far = F.abs(m - n) > edits
-        d = _banded(F.split(F.concat(x, pad), ""), F.split(F.concat(y, pad), ""), edits)
-        return F.when(far, None).when(F.least(m, n) == 0, F.greatest(m, n)).otherwise(F.when(d <= edits, d))
+        signs = F.struct(F.split(F.concat(x, pad), "").alias("x"), F.split(F.concat(y, pad), "").alias("y"))
+        d = _bound(signs, lambda s: _bound(F.struct(s["x"].alias("x"), s["y"].alias("y"), F.size(s["x"]).alias("m"), F.size(s["y"]).alias("n")), lambda t: _banded(t["x"], t["y"], t["m"], t["n"], edits)))
+        return F.when(far, None).when(F.least(m, n) == 0, F.greatest(m, n)).otherwise(_bound(d, lambda v: F.when(v <= edits, v)))
 
     head = _common(a, b, False)
     return _bound(
@@ -177,16 +185,17 @@ def edit_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataF
     if not 0 <= edits <= 14 or least <= edits:
         raise ValueError("edits must be 0..14 and less than least")
     long_lines = occurrences(docs, with_text=True).where(F.char_length("line") >= least).select("id", "line")
-    entries = long_lines.select("id", F.explode(signatures(F.col("line"), edits, F.lit(0))).alias("s")).select("id", "s.sig", "s.own")
+    entries = signatures(long_lines, edits).select("id", "sig", "own")
     shared = cut(_shared(entries), "shared")
     crowded = cut(shared.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("sig"), "crowded")
     if crowded.limit(1).count():
         members = shared.join(crowded, "sig", "left_semi")
         texts = _texts(docs, members.select("id").distinct())
-        again = texts.select("id", "line", F.explode(signatures(F.col("line"), edits, F.lit(0))).alias("s")).select("id", "line", "s.*").join(crowded, "sig", "left_semi")
-        rest = F.concat(F.left("line", F.col("at") - 1), F.substring(F.col("line"), F.col("at") + F.col("size"), F.char_length("line")))
+        again = signatures(texts, edits).join(crowded, "sig", "left_semi")
+        rest = F.concat(F.left("line", F.col("at") - 1), F.substring(F.col("line"), F.col("at") + F.col("width"), F.char_length("line")))
         # an index entry is cut at its segment, so both roles meet under the first signature
-        finer = again.select("id", F.col("own").alias("first"), F.explode(signatures(rest, edits, F.col("sig"))).alias("s")).select("id", "s.sig", (F.col("first") & F.col("s.own")).alias("own"))
+        left = again.select("id", F.col("sig").alias("first"), F.col("own").alias("first_own"), rest.alias("line"))
+        finer = signatures(left, edits, "first", ("id", "first", "first_own")).select("id", "sig", (F.col("first_own") & F.col("own")).alias("own"))
         fine = cut(_shared(finer), "shared-finer")
         candidates = _pairs(shared.join(crowded, "sig", "left_anti")).unionByName(_pairs(fine)).distinct()
     else:
@@ -194,6 +203,8 @@ def edit_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataF
     candidates = cut(candidates, "line-candidates")
     lines = _texts(docs, candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     both = candidates.join(lines.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a").join(lines.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
+    # pairs are few bytes but much work: deal them to all cores
+    both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
     return both.select("a", "b", edit_distance(F.col("line_a"), F.col("line_b"), edits).alias("distance")).where(F.col("distance").isNotNull())
 
 
