@@ -27,6 +27,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,9 @@ _SPACE = "\t-\r \x85\xa0  -     　"
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _PIECE = 1 << 20
 #: Words and fragments remembered by a worker; beyond that it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
+#: Texts whose ids a worker holds at once.
+_ROWS = 256
 
 
 def default_vocab() -> str:
@@ -175,8 +178,8 @@ class Codec:
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.tokens.__getitem__, ids))
 
-    def digests(self, text: str | None) -> tuple[int, str, str]:
-        """(number of ids, digest of the ids, digest of the decoded text)."""
+    def digests(self, text: str | None, into: list[np.ndarray] | None = None) -> tuple[int, str, str]:
+        """(number of ids, digest of the ids, digest of the decoded text); ids are added to ``into``."""
         n, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
         for ids in self.encode_parts(text):
             if ids:
@@ -184,6 +187,8 @@ class Codec:
                 of_ids.update(gap + " ".join(map(self.names.__getitem__, ids)).encode())
                 of_text.update(gap + self.decode(ids).encode())
                 n += len(ids)
+                if into is not None:
+                    into.append(np.array(ids, dtype=np.int32))
         return n, of_ids.hexdigest(), of_text.hexdigest()
 
 
@@ -231,23 +236,23 @@ def digest_documents(docs: DataFrame, vocab: str | None = None, id_col: str = "d
 
 
 def tokenise(docs: DataFrame, vocab: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256): the ids and their digests."""
-    encoded = encode_documents(docs, vocab, id_col, text_col)
+    """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256): the ids and their digests, in small batches."""
     vocab = vocab or default_vocab()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocab)
         for batch in batches:
-            rows = [i.as_py() or [] for i in batch.column(1)]
-            of_ids = [hashlib.sha256(" ".join(map(c.names.__getitem__, ids)).encode()).hexdigest() for ids in rows]
-            of_text = [hashlib.sha256(c.decode(ids).encode()).hexdigest() for ids in rows]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(list(map(len, rows)), pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
-                names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+            for at in range(0, batch.num_rows, _ROWS):
+                part, found, starts, rows = batch.slice(at, _ROWS), [np.empty(0, np.int32)], [0], []
+                for text in part.column(1):
+                    rows.append(c.digests(text.as_py(), found))
+                    starts.append(starts[-1] + rows[-1][0])
+                ids = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(np.concatenate(found)))
+                n, of_ids, of_text = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
