@@ -11,7 +11,8 @@ map side, and only candidates' lines are fetched.
 
 Signatures that more than ``CROWD`` different lines share are not paired at once: what is left
 of each line without the shared segment must be within EDITS edits too, so it is segmented
-again under the signature. That is exact, and divides a crowd that shares one common part.
+again under the signature. That is exact, and divides a crowd that shares one common part. Pairs whose parities of signs and
+of neighbouring signs differ by more than EDITS edits can cause are dropped inside the join.
 
 Lines form classes: connected components of copies and links. Of each class the first line
 (smallest doc_id, then line number) stays; the others go. Lines of fewer than ``LEAST`` signs
@@ -168,9 +169,26 @@ def _shared(entries: DataFrame) -> DataFrame:
     return once.withColumn("lo", F.min("id").over(w)).withColumn("hi", F.max("id").over(w)).withColumn("indexed", F.max("own").over(w)).where("lo <> hi and indexed").drop("lo", "hi", "indexed")
 
 
-def _pairs(shared: DataFrame) -> DataFrame:
-    index, probe = shared.where("own").select("sig", F.col("id").alias("a")), shared.select("sig", F.col("id").alias("b"), "own")
-    return index.join(probe, "sig").where("a <> b and (not own or a < b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _parities(line: Column) -> tuple[Column, Column]:
+    """64-bit parities of a line's signs and of its neighbouring pairs of signs, by class. One edit
+    flips at most two bits of the first and four of the second."""
+    codes = F.transform(F.split(line, ""), lambda c: F.ascii(c))
+
+    def of(numbers: Column) -> Column:
+        bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("bigint"), n.bitwiseAND(F.lit(63)))
+        return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda s, n: s.bitwiseXOR(bit(n)))
+
+    both = lambda c: F.zip_with(c, F.slice(c, F.lit(2), F.greatest(F.size(c) - 1, F.lit(0))), lambda x, y: F.coalesce(x * 31 + y * 7, F.lit(0)))
+    parities = _bound(codes, lambda c: F.struct(of(c).alias("one"), of(F.slice(both(c), F.lit(1), F.greatest(F.size(c) - 1, F.lit(0)))).alias("two")))
+    return parities["one"], parities["two"]
+
+
+def _pairs(shared: DataFrame, edits: int) -> DataFrame:
+    """Pairs of an index entry and a probe under one signature, as far as their parities allow
+    ``edits`` edits. The join itself drops the others: they are never written."""
+    index, probe = shared.where("own").selectExpr("sig", "id as a", "one as one_a", "two as two_a"), shared.selectExpr("sig", "id as b", "own", "one as one_b", "two as two_b")
+    near = f"a <> b and (not own or a < b) and bit_count(one_a ^ one_b) <= {2 * edits} and bit_count(two_a ^ two_b) <= {4 * edits}"
+    return index.join(probe, "sig").where(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -187,21 +205,23 @@ def edit_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataF
     long_lines = occurrences(docs, with_text=True).where(F.char_length("line") >= least).select("id", "line")
     entries = signatures(long_lines, edits).select("id", "sig", "own")
     shared = cut(_shared(entries), "shared")
+    texts = _texts(docs, shared.select("id").distinct())
+    one, two = _parities(F.col("line"))
+    lines = cut(texts.select("id", "line", one.alias("one"), two.alias("two")), "line-parities")
+    marks = lines.select("id", "one", "two")
+    shared = cut(shared.join(marks, "id"), "shared-marked")
     crowded = cut(shared.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("sig"), "crowded")
     if crowded.limit(1).count():
-        members = shared.join(crowded, "sig", "left_semi")
-        texts = _texts(docs, members.select("id").distinct())
-        again = signatures(texts, edits).join(crowded, "sig", "left_semi")
+        again = signatures(lines, edits).join(crowded, "sig", "left_semi")
         rest = F.concat(F.left("line", F.col("at") - 1), F.substring(F.col("line"), F.col("at") + F.col("width"), F.char_length("line")))
         # an index entry is cut at its segment, so both roles meet under the first signature
         left = again.select("id", F.col("sig").alias("first"), F.col("own").alias("first_own"), rest.alias("line"))
         finer = signatures(left, edits, "first", ("id", "first", "first_own")).select("id", "sig", (F.col("first_own") & F.col("own")).alias("own"))
-        fine = cut(_shared(finer), "shared-finer")
-        candidates = _pairs(shared.join(crowded, "sig", "left_anti")).unionByName(_pairs(fine)).distinct()
+        fine = cut(_shared(finer).join(marks, "id"), "shared-finer")
+        candidates = _pairs(shared.join(crowded, "sig", "left_anti"), edits).unionByName(_pairs(fine, edits)).distinct()
     else:
-        candidates = _pairs(shared)
+        candidates = _pairs(shared, edits)
     candidates = cut(candidates, "line-candidates")
-    lines = _texts(docs, candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     both = candidates.join(lines.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a").join(lines.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
     # pairs are few bytes but much work: deal them to all cores
     both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
