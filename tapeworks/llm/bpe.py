@@ -39,7 +39,7 @@ _SPACE = "\t-\r \x85\xa0  -     　"
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _PIECE = 1 << 20
 #: Words and fragments remembered by a worker; beyond that it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 80_000
 #: Texts whose ids a worker holds at once.
 _ROWS = 256
 

@@ -15,8 +15,16 @@ from pyspark.sql import functions as F
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: Texts a Python worker gets at once, unless the session says otherwise: batches of Spark's
+#: default of 10,000 long texts would stay in both processes' pools.
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_DEFAULT, _FEWER = "10000", "1000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+    if spark.conf.get(_BATCH, _DEFAULT) == _DEFAULT:
+        spark.conf.set(_BATCH, _FEWER)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

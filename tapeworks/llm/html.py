@@ -262,7 +262,8 @@ def main_slots(wrapper: list, slots: dict[str, list]) -> list[str]:
     main = [p for p in open_slots if any(s.partition(".")[0] in _MAIN_TAGS for s in p.split("/"))]
     if main:
         return main
-    changing = [p for p in open_slots if p in slots and slots[p][0] > 2 * slots[p][1] and (slots[p][2] < 3 or not slots[p][3])] or open_slots
+    unlinked = [p for p in open_slots if slots.get(p, [0, 0])[0] > 2 * slots.get(p, [0, 0])[1]] or open_slots
+    changing = [p for p in unlinked if p in slots and (slots[p][2] < 3 or not slots[p][3])] or unlinked
     mass: dict[str, int] = {}
     for p in changing:
         parent = p.rpartition("/")[0]
@@ -270,7 +271,7 @@ def main_slots(wrapper: list, slots: dict[str, list]) -> list[str]:
     if not mass:
         return []
     best = max(mass, key=lambda p: (mass[p], p))
-    return [p for p in changing if p == best or p.startswith(best + "/") or p.rpartition("/")[0] == best]
+    return [p for p in unlinked if p == best or p.startswith(best + "/")]
 
 
 def extract(html: str | None, main: set[str]) -> str:

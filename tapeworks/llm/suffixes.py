@@ -40,6 +40,8 @@ GRAM = 32
 _REACH = SPAN - GRAM
 _SHALLOW = 16
 _CHUNK = 1 << 23
+#: Bytes of text whose anchors a task combines before it sends them.
+_COMBINE = 1 << 25
 _LOW = np.uint64((1 << 24) - 1)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _BYTES = np.random.default_rng(20).integers(0, 2**64, 256, dtype=np.uint64)
@@ -126,10 +128,23 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     digest = xxhash.xxh64_intdigest
+    found: list[tuple[np.ndarray, ...]] = []
+    n_bytes = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if not found:
+            return
+        anchor, context, doc, place = (np.concatenate(x) for x in zip(*found, strict=True))
+        found.clear()
+        order, again = _repeats(anchor, context, doc, place)
+        gone, first = order[again], order[~again]
+        d, s, e = _merged(doc[gone], *_cover(place[gone]))
+        if len(d):
+            yield _rows(1, (d * 1_000_003 + s) * 7_919, e, d, s)
+        yield _rows(0, anchor[first], context[first], doc[first], place[first])
+
     for batch in batches:
-        docs, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
-        found: list[tuple[np.ndarray, ...]] = []
-        for doc, text in zip(docs, texts, strict=True):
+        for doc, text in zip(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1), strict=True):
             raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
             pos, hashes = anchors(np.frombuffer(raw, np.uint8))
             if not len(pos):
@@ -138,15 +153,11 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sides = (left << 7) | right
             context = np.fromiter((digest(raw[s:e], k) for s, e, k in zip((pos - left).tolist(), (pos + GRAM + right).tolist(), sides.tolist(), strict=True)), np.uint64, len(pos))
             found.append((hashes, context, np.full(len(pos), doc, np.int64), _pack(pos, left, right)))
-        if not found:
-            continue
-        anchor, context, doc, place = (np.concatenate(x) for x in zip(*found, strict=True))
-        order, again = _repeats(anchor, context, doc, place)
-        gone, first = order[again], order[~again]
-        d, s, e = _merged(doc[gone], *_cover(place[gone]))
-        if len(d):
-            yield _rows(1, (d * 1_000_003 + s) * 7_919, e, d, s)
-        yield _rows(0, anchor[first], context[first], doc[first], place[first])
+            n_bytes += len(raw)
+            if n_bytes >= _COMBINE:
+                yield from flush()
+                n_bytes = 0
+    yield from flush()
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -29,7 +29,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -172,18 +171,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, id
         return Index()
 
     def counted(wanted: set[str] | None):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts: Counter[str] = Counter()
             for batch in batches:
-                for text in batch["text"]:
-                    terms = terms_of(set(words_of(text)))
+                for text in batch.column(0):
+                    terms = terms_of(set(words_of(text.as_py())))
                     counts.update(terms if wanted is None else terms & wanted)
-            yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
         return run
 
     def counts(rows: DataFrame, wanted: set[str] | None, least: int) -> dict[str, int]:
-        summed = rows.select("text").mapInPandas(counted(wanted), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+        summed = rows.select("text").mapInArrow(counted(wanted), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
         return {r["term"]: r["n"] for r in summed.where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(20 * MAX_TERMS).collect()}
 
     toxic = counts(examples.where("toxic = 1"), None, LEAST_COUNT)
@@ -194,12 +193,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, id
     index.idf = np.array([math.log((1 + n) / (1 + toxic[t] + clean.get(t, 0))) + 1 for t in terms])
     index.prepare()
 
-    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(i, y, *v) for i, y, text in zip(batch["id"], batch["toxic"], batch["text"], strict=True) if (v := index.vector(text))]
-            yield pd.DataFrame(rows, columns=["id", "toxic", "numbers", "weights"])
+            rows = [(i.as_py(), y.as_py(), *v) for i, y, text in zip(*batch.columns, strict=True) if (v := index.vector(text.as_py()))]
+            kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["id", "toxic", "numbers", "weights"])
 
-    found = examples.mapInPandas(vectors, "id bigint, toxic int, numbers array<bigint>, weights array<double>").orderBy("id", "toxic").collect()
+    found = examples.select("id", "toxic", "text").mapInArrow(vectors, "id bigint, toxic int, numbers array<bigint>, weights array<double>").orderBy("id", "toxic").collect()
     seen = sum(r["toxic"] == 1 for r in found)
     index.zero_score = (n_toxic - seen + 0.5) / (n - len(found) + 1)
     if not found:
