@@ -229,7 +229,8 @@ def edit_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataF
 
 
 def removed_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, text_hash, removed: array of line numbers), links): docs(doc_id, text)."""
+    """((doc_id, text_hash, removed), links) of docs(doc_id, text). removed: array of (line_no,
+    class_doc_id, class_line_no), the lines that go and the first line of the class of each."""
     occ = occurrences(docs)
     links = cut(edit_links(docs, edits, least), "line-links")
     roots = cut(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "line-roots")
@@ -239,7 +240,7 @@ def removed_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tu
     heads = placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("first").alias("head"))
     classes = placed.join(heads, "root", "left").select("id", "id2", F.coalesce("head", "first").alias("head"))
     gone = occ.join(classes, ["id", "id2"]).where(~((F.col("doc_id").eqNullSafe(F.col("head.doc_id"))) & (F.col("line_no") == F.col("head.line_no")) & (F.col("text_hash") == F.col("head.text_hash"))))
-    return gone.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line_no")).alias("removed")), links
+    return gone.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("line_no", F.col("head.doc_id").alias("class_doc_id"), F.col("head.line_no").alias("class_line_no")))).alias("removed")), links
 
 
 def _joined(rows: DataFrame, removed: DataFrame) -> DataFrame:
@@ -251,7 +252,7 @@ def dedup(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """``docs`` with the removed lines taken out of their texts; every row and column stays."""
     removed, _ = removed_lines(docs.select("doc_id", "text"), edits, least)
     numbered = F.transform(lines_of(F.col("text")), lambda line, i: F.struct(i.alias("i"), line.alias("line")))
-    kept = F.array_join(F.transform(F.filter(numbered, lambda x: ~F.array_contains(F.col("removed"), x["i"])), lambda x: x["line"]), "\n")
+    kept = F.array_join(F.transform(F.filter(numbered, lambda x: ~F.array_contains(F.col("removed.line_no"), x["i"])), lambda x: x["line"]), "\n")
     rows = docs.withColumn("text_hash", F.xxhash64("text")) if "text_hash" not in docs.columns else docs
     out = _joined(rows, removed).withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept))
     if "n_chars" in docs.columns:
@@ -261,14 +262,15 @@ def dedup(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: lines, lines removed, links of its lines, and a digest of the ids kept."""
+    """Per document: lines, lines removed, links of its lines, a digest of the ids kept, and for each
+    removed line its class, named by the place of the class's first line."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     removed, links = removed_lines(docs)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
     linked = occurrences(docs).join(degree, "id").groupBy("doc_id", "text_hash").agg(F.sum("links").alias("n_links")).withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
     ids = F.transform(lines_of(F.col("text")), lambda line: F.xxhash64(F.trim(line)))
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), ids.alias("ids"))
-    kept = F.filter("ids", lambda _, i: ~F.array_contains(F.coalesce("removed", F.array().cast("array<int>")), i))
+    kept = F.filter("ids", lambda _, i: ~F.array_contains(F.coalesce("removed.line_no", F.array().cast("array<int>")), i))
     return (
         _joined(rows, removed)
         .join(linked, [F.col("doc_id").eqNullSafe(F.col("_d")), F.col("text_hash") == F.col("_h")], "left")
@@ -278,5 +280,6 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
             F.sha2(F.array_join(F.transform(kept, lambda x: F.hex(x)), ","), 256).alias("kept_sha256"),
+            F.col("removed").alias("membership"),
         )
     )
