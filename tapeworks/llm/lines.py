@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapeworks.llm.common import components, cut, table
+from tapeworks.llm.common import bound, components, cut, table
 
 EDITS = 2
 LEAST = 30
@@ -83,11 +83,6 @@ def signatures(lines: DataFrame, edits: int, under: str = "0", keep: tuple[str,
     return placed.select(*keep, F.expr(f"xxhash64({under}, length, i, substring(line, at, width))").alias("sig"), F.expr("delta = 0 and shift = 0").alias("own"), "at", "width", "line")
 
 
-def _bound(value: Column, use) -> Column:
-    """use(value), with value evaluated once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _common(a: Column, b: Column, from_end: bool) -> Column:
     """Length of the common prefix (or suffix), by halving."""
     part = F.right if from_end else F.left
@@ -96,7 +91,7 @@ def _common(a: Column, b: Column, from_end: bool) -> Column:
 
     def step(s: Column, _: Column) -> Column:
         mid = F.shiftright(s["lo"] + s["hi"] + 1, 1)
-        return F.when(s["lo"] >= s["hi"], s).otherwise(_bound(mid, lambda m: F.when(part(a, m) == part(b, m), F.struct(m.alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), (m - 1).alias("hi")))))
+        return F.when(s["lo"] >= s["hi"], s).otherwise(bound(mid, lambda m: F.when(part(a, m) == part(b, m), F.struct(m.alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), (m - 1).alias("hi")))))
 
     return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), most.alias("hi")), step, lambda s: s["lo"])
 
@@ -115,11 +110,11 @@ def _banded(a: Column, b: Column, m: Column, n: Column, edits: int) -> Column:
 
         def with_equal(x: Column) -> Column:
             d0 = ((x.bitwiseAND(s["vp"]) + s["vp"]).bitwiseXOR(s["vp"])).bitwiseOR(x).bitwiseOR(s["vn"]).bitwiseAND(F.lit(mask))
-            return _bound(d0, with_d0)
+            return bound(d0, with_d0)
 
         def with_d0(d: Column) -> Column:
             hp = s["vn"].bitwiseOR(F.lit(mask).bitwiseXOR(d.bitwiseOR(s["vp"])))
-            return _bound(hp, lambda h: with_both(d, h))
+            return bound(hp, lambda h: with_both(d, h))
 
         def with_both(d: Column, h: Column) -> Column:
             hn, down = d.bitwiseAND(s["vp"]), F.shiftright(d, 1)
@@ -130,7 +125,7 @@ def _banded(a: Column, b: Column, m: Column, n: Column, edits: int) -> Column:
             vp = hn.bitwiseOR(F.lit(mask).bitwiseXOR(down.bitwiseOR(h)))
             return F.struct(vp.alias("vp"), down.bitwiseAND(h).alias("vn"), dist.alias("dist"))
 
-        return _bound(equal, with_equal)
+        return bound(equal, with_equal)
 
     # the distance on the band's lowest diagonal can only fall by one a column after its end, so
     # beyond this it is too far: whole pieces are skipped then
@@ -149,15 +144,15 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
         pad = F.lit("\x00" * edits)
         far = F.abs(m - n) > edits
         signs = F.struct(F.split(F.concat(x, pad), "").alias("x"), F.split(F.concat(y, pad), "").alias("y"))
-        d = _bound(signs, lambda s: _bound(F.struct(s["x"].alias("x"), s["y"].alias("y"), F.size(s["x"]).alias("m"), F.size(s["y"]).alias("n")), lambda t: _banded(t["x"], t["y"], t["m"], t["n"], edits)))
-        return F.when(far, None).when(F.least(m, n) == 0, F.greatest(m, n)).otherwise(_bound(d, lambda v: F.when(v <= edits, v)))
+        d = bound(signs, lambda s: bound(F.struct(s["x"].alias("x"), s["y"].alias("y"), F.size(s["x"]).alias("m"), F.size(s["y"]).alias("n")), lambda t: _banded(t["x"], t["y"], t["m"], t["n"], edits)))
+        return F.when(far, None).when(F.least(m, n) == 0, F.greatest(m, n)).otherwise(bound(d, lambda v: F.when(v <= edits, v)))
 
     head = _common(a, b, False)
-    return _bound(
+    return bound(
         head,
-        lambda h: _bound(
+        lambda h: bound(
             F.struct(F.substring(a, h + 1, F.char_length(a)).alias("x"), F.substring(b, h + 1, F.char_length(b)).alias("y")),
-            lambda s: _bound(_common(s["x"], s["y"], True), lambda t: _bound(F.struct(F.left(s["x"], F.char_length(s["x"]) - t).alias("x"), F.left(s["y"], F.char_length(s["y"]) - t).alias("y")), lambda r: inner(r["x"], r["y"]))),
+            lambda s: bound(_common(s["x"], s["y"], True), lambda t: bound(F.struct(F.left(s["x"], F.char_length(s["x"]) - t).alias("x"), F.left(s["y"], F.char_length(s["y"]) - t).alias("y")), lambda r: inner(r["x"], r["y"]))),
         ),
     )
 
@@ -179,7 +174,7 @@ def _parities(line: Column) -> tuple[Column, Column]:
         return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda s, n: s.bitwiseXOR(bit(n)))
 
     both = lambda c: F.zip_with(c, F.slice(c, F.lit(2), F.greatest(F.size(c) - 1, F.lit(0))), lambda x, y: F.coalesce(x * 31 + y * 7, F.lit(0)))
-    parities = _bound(codes, lambda c: F.struct(of(c).alias("one"), of(F.slice(both(c), F.lit(1), F.greatest(F.size(c) - 1, F.lit(0)))).alias("two")))
+    parities = bound(codes, lambda c: F.struct(of(c).alias("one"), of(F.slice(both(c), F.lit(1), F.greatest(F.size(c) - 1, F.lit(0)))).alias("two")))
     return parities["one"], parities["two"]
 
 

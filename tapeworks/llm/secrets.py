@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapeworks.llm.common import cut, table
+from tapeworks.llm.common import bound, cut, table
 
 #: Fixed by the contract, in the order of their kinds.
 ASSIGN = r"(?i)(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9+/_.=-]+"
@@ -64,11 +64,42 @@ def _spans(text: Column, pattern: str, kind: str) -> Column:
 
 def _upper_tail(z: Column) -> Column:
     """P(Z > z) of the standard normal, by a rational approximation good to 1e-7."""
-    x = F.least(F.abs(z), F.lit(37.0))
-    t = 1 / (1 + F.lit(0.2316419) * x)
-    poly = t * (F.lit(0.319381530) + t * (F.lit(-0.356563782) + t * (F.lit(1.781477937) + t * (F.lit(-1.821255978) + t * F.lit(1.330274429)))))
-    tail = F.exp(-x * x / 2) / F.lit(2.5066282746310002) * poly
-    return F.when(z >= 0, tail).otherwise(1 - tail)
+
+    def tail(v: Column) -> Column:
+        x = F.least(F.abs(v), F.lit(37.0))
+        t = 1 / (1 + F.lit(0.2316419) * x)
+        density = F.exp(-x * x / 2) / F.lit(2.5066282746310002)
+        poly = lambda t: t * (F.lit(0.319381530) + t * (F.lit(-0.356563782) + t * (F.lit(1.781477937) + t * (F.lit(-1.821255978) + t * F.lit(1.330274429)))))
+        return bound(density * bound(t, poly), lambda p: F.when(v >= 0, p).otherwise(1 - p))
+
+    return bound(z, tail)
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
+
+
+def _serial(token: Column, n: Column) -> Column:
+    """z of the lag-one correlation of the signs' codes; 9 where all are equal."""
+
+    def of_centred(z: Column) -> Column:
+        products = F.zip_with(z, F.slice(z, F.lit(2), F.greatest(F.size(z) - 1, F.lit(1))), lambda a, b: F.coalesce(a * b, F.lit(0.0)))
+        power = _sum(F.transform(z, lambda c: c * c))
+        return bound(power, lambda p: F.when(p > 0, F.sqrt(n) * (_sum(products) / p + 1 / n)).otherwise(F.lit(9.0)))
+
+    codes = F.transform(F.split(token, ""), lambda c: F.ascii(c).cast("double"))
+    return bound(codes, lambda c: bound(_sum(c) / n, lambda mean: bound(F.transform(c, lambda x: x - mean), of_centred)))
+
+
+def _runs(halves: Column, n: Column) -> Column:
+    """z of the number of changes in a text of two signs; 9 where there is only one."""
+
+    def of_ones(ones: Column) -> Column:
+        changes = (F.size(F.split(halves, "\x01\x02")) + F.size(F.split(halves, "\x02\x01")) - 2).cast("double")
+        mean = 2 * ones * (n - ones) / n
+        return bound(mean, lambda m: F.when(m * (m - 1) > 0, (changes - m) / F.sqrt(m * (m - 1) / (n - 1))).otherwise(F.lit(9.0)))
+
+    return bound(n - F.length(F.replace(halves, F.lit("\x01"), F.lit(""))), of_ones)
 
 
 def battery(token: Column) -> Column:
@@ -78,30 +109,20 @@ def battery(token: Column) -> Column:
         size = F.when(token.rlike(signs), F.lit(float(k))).otherwise(size)
         high = F.when(token.rlike(signs), F.lit(above)).otherwise(high)
     n = F.length(token).cast("double")
-    # chi-squared: the sum of squared counts, by taking out one sign at a time
-    signs_in = F.array_distinct(F.split(token, ""))
-    squares = F.aggregate(signs_in, F.lit(0.0), lambda s, c: s + F.pow(F.length(token) - F.length(F.replace(token, c, F.lit(""))), F.lit(2)))
-    chi = size * squares / n - n
-    p_chi = _upper_tail((chi - (size - 1)) / F.sqrt(2 * (size - 1) * (n - 1) / n))
-    # runs of signs above and below the alphabet's middle, written as 1 and 0
+
+    def chi(k: Column) -> Column:
+        # the sum of squared counts, by taking out one sign at a time
+        squares = F.aggregate(F.array_distinct(F.split(token, "")), F.lit(0.0), lambda s, c: s + F.pow(F.length(token) - F.length(F.replace(token, c, F.lit(""))), F.lit(2)))
+        return (k * squares / n - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
+
+    # signs above and below the alphabet's middle, written as 1 and 2
     halves = F.regexp_replace(F.regexp_replace(token, high, F.lit("\x01")), F.lit("[^\x01]"), F.lit("\x02"))
-    ones = n - F.length(F.replace(halves, F.lit("\x01"), F.lit("")))
-    zeros = n - ones
-    changes = (F.size(F.split(halves, "\x01\x02")) + F.size(F.split(halves, "\x02\x01")) - 2).cast("double")
-    mean = 2 * ones * zeros / n
-    var = (mean * (mean - 1)) / (n - 1)
-    z_runs = F.when(var > 0, (changes - mean) / F.sqrt(var)).otherwise(F.lit(9.0))
-    p_runs = 2 * _upper_tail(F.abs(z_runs))
-    # lag-one serial correlation of the signs' codes
-    codes = F.transform(F.split(token, ""), lambda c: F.ascii(c).cast("double"))
-    mu = F.aggregate(codes, F.lit(0.0), lambda s, c: s + c) / n
-    centred = F.transform(codes, lambda c: c - mu)
-    power = F.aggregate(centred, F.lit(0.0), lambda s, c: s + c * c)
-    lagged = F.aggregate(F.zip_with(centred, F.slice(centred, F.lit(2), F.greatest(F.length(token) - 1, F.lit(1))), lambda a, b: F.coalesce(a * b, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x)
-    z_serial = F.when(power > 0, F.sqrt(n) * (lagged / power + 1 / n)).otherwise(F.lit(9.0))
-    p_serial = 2 * _upper_tail(F.abs(z_serial))
-    x = -2 * (F.ln(F.greatest(p_chi, F.lit(1e-300))) + F.ln(F.greatest(p_runs, F.lit(1e-300))) + F.ln(F.greatest(p_serial, F.lit(1e-300))))
-    return F.least(F.exp(-x / 2) * (1 + x / 2 + x * x / 8), F.lit(1.0))
+    p_chi = _upper_tail(bound(size, chi))
+    p_runs = 2 * _upper_tail(F.abs(bound(halves, lambda h: _runs(h, n))))
+    p_serial = 2 * _upper_tail(F.abs(_serial(token, n)))
+    log = lambda p: F.ln(F.greatest(p, F.lit(1e-300)))
+    x = -2 * (log(p_chi) + log(p_runs) + log(p_serial))
+    return bound(x, lambda v: F.least(F.exp(-v / 2) * (1 + v / 2 + v * v / 8), F.lit(1.0)))
 
 
 def _length_class(token: Column) -> Column:
