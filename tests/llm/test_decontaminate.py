@@ -33,8 +33,7 @@ def text(n):
     return "".join(R.choice(["Alpha", "beta", "GAMMA", "été", "d9", "ÉT", "kappa"]) + R.choice([" ", ", ", "\n", "-"]) for _ in range(n))
 
 
-@pytest.mark.parametrize("window, gram", [(10, 6), (6, 6), (7, 3)])
-@pytest.mark.parametrize("broadcast", [10**6, 0])
+@pytest.mark.parametrize("window, gram, broadcast", [(10, 6, 10**6), (6, 6, 10**6), (7, 3, 0)])
 def test_equals_brute_force(spark, docs_of, monkeypatch, window, gram, broadcast):
     monkeypatch.setattr(D, "BROADCAST_ROWS", broadcast)
     items = [(i, text(R.randint(12, 40))) for i in range(12)] + [(20, "one two THREE"), (21, ""), (22, None), (23, "!!"), (24, "Alpha")][: 4 + (window == 10)]
