@@ -38,8 +38,8 @@ from tapeworks.llm.common import table
 _SPACE = "\t-\r \x85\xa0  -     　"
 _CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 _PIECE = 1 << 20
-#: Words and fragments remembered by a worker; beyond that it starts anew.
-REMEMBERED = 80_000
+#: Words remembered by a worker, and four times as many as fragments; beyond that it starts anew.
+REMEMBERED = 250_000
 #: Texts whose ids a worker holds at once.
 _ROWS = 256
 
@@ -71,12 +71,12 @@ def _word_finder():
 class _Memo(dict):
     """A dict that computes what is missing, and empties itself when full."""
 
-    def __init__(self, make) -> None:
+    def __init__(self, make, most: int) -> None:
         super().__init__()
-        self.make = make
+        self.make, self.most = make, most
 
     def __missing__(self, key):
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.most:
             self.clear()
         self[key] = made = self.make(key)
         return made
@@ -106,8 +106,8 @@ class Codec:
         self.find_words = _word_finder()
         self.find_space = regex.compile(f"[{_SPACE}]").search
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")").split if added else lambda t: [t]
-        self.fragments = _Memo(self._merge)
-        self.words = _Memo(self._encode_word)
+        self.fragments = _Memo(self._merge, REMEMBERED // 4)
+        self.words = _Memo(self._encode_word, REMEMBERED)
 
     @staticmethod
     def _pairs(symbols: list[str]) -> zip:
