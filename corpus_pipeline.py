@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeworks.llm import bpe, decontaminate, lines, simhash, toxicity
+from tapeworks.llm import bpe, decontaminate, lines, near_copies, toxicity
 from tapeworks.llm.common import cut, table
 
 
@@ -25,8 +25,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash component."""
-    return simhash.keep_one_each(docs)
+    """Keep one document of each component of SimHash links and of 5-word Jaccard 0.8 or more."""
+    return near_copies.keep_one_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
