@@ -6,58 +6,62 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks import config
+from tapeworks.functions.frames import running
 from tapeworks.functions.numeric import div9, half, mul9, times
 from tapeworks.functions.timing import day
 
-#: Minute grids of so many rows at most are broadcast (counted first).
-BROADCAST_MINUTES = 2_000_000
-
-
 def _state_order() -> Column:
     """What came last on a level: snapshots before deltas, then exchange time, then place in the
     message; the message id settles what the others leave open."""
     return F.struct((F.col("event_type") != "snapshot").alias("a"), F.col("event_time").alias("b"), F.col("change_index").alias("c"), F.coalesce("message_id", F.lit("")).alias("d"))
 
 
-def snapshot_epochs(events: DataFrame, latest_only: bool) -> DataFrame:
-    """(product_id, snapshot_time, epoch_end, mid) of every snapshot, or only of the last ones."""
+def snapshot_mids(events: DataFrame) -> DataFrame:
+    """(product_id, snapshot_time, mid) of every snapshot that has both sides."""
     at = events.where((F.col("event_type") == "snapshot") & (F.col("size") > 0)).groupBy("product_id", F.col("ingest_time").alias("snapshot_time"))
     mids = at.agg(half(F.min(F.when(F.col("side") == "sell", F.col("price"))) + F.max(F.when(F.col("side") == "buy", F.col("price")))).alias("mid"))
-    every = events.where(F.col("event_type") == "snapshot").select("product_id", F.col("ingest_time").alias("snapshot_time")).distinct()
-    w = Window.partitionBy("product_id").orderBy("snapshot_time")
-    dated = every.withColumn("epoch_end", F.lead("snapshot_time").over(w))
-    if latest_only:
-        dated = dated.where(F.col("epoch_end").isNull())
-    return dated.join(mids, ["product_id", "snapshot_time"])
+    return mids.where(F.col("mid").isNotNull())
+
+
+def with_snapshot_time(events: DataFrame) -> DataFrame:
+    """Every event with the arrival of the last snapshot at or before it, null before the first.
+
+    Rows are dealt by product and hour; an hour gets the last snapshot of those before it."""
+    taken = F.when(F.col("event_type") == "snapshot", F.col("ingest_time"))
+    return running(events, ["product_id"], F.col("ingest_time"), F.date_trunc("HOUR", "ingest_time"), taken, "snapshot_time", "max")
 
 
 def carry_forward(states: DataFrame, within: list[str], level: list[str]) -> DataFrame:
     """Level sizes at every minute of ``within`` that has any state: the last at or before it.
 
     states: within, level, minute, size (one row each). A state holds from its minute to the
-    level's next one; sizes of 0 end a level and are not carried."""
-    until = F.lead("minute").over(Window.partitionBy(*within, *level).orderBy("minute"))
-    held = states.withColumn("until", until).where("size > 0")
-    grid = states.select(*within, F.col("minute").alias("event_minute")).distinct()
-    few = grid.limit(BROADCAST_MINUTES + 1).count() <= BROADCAST_MINUTES
-    lasting = (F.col("event_minute") >= F.col("minute")) & (F.col("until").isNull() | (F.col("event_minute") < F.col("until")))
-    return held.join(F.broadcast(grid) if few else grid, within).where(lasting).drop("until", "minute")
+    level's next one; sizes of 0 end a level and are not carried. The active minutes of a group
+    are numbered, so a state's stay is a range of numbers: it makes exactly the rows it
+    holds for, and no row is joined with a minute it doesn't hold for."""
+    of_group = Window.partitionBy(*within)
+    grid = states.select(*within, "minute").distinct()
+    grid = grid.withColumns({"_at": F.row_number().over(of_group.orderBy("minute")), "_end": F.count(F.lit(1)).over(of_group).cast("int") + 1})
+    until = F.lead("_at").over(Window.partitionBy(*within, *level).orderBy("_at"))
+    held = states.join(grid, [*within, "minute"]).withColumn("_until", F.coalesce(until, F.col("_end"))).where("size > 0").drop("minute", "_end")
+    each = held.withColumn("_at", F.explode(F.sequence("_at", F.col("_until") - 1))).drop("_until")
+    return each.join(grid.select(*within, "_at", F.col("minute").alias("event_minute")), [*within, "_at"]).drop("_at")
 
 
 def book_state(events: DataFrame, latest_only: bool = False, band: str = config.PRUNE_BAND) -> DataFrame:
     """State of every level near the snapshot's mid at the end of each active minute.
 
     A snapshot starts an epoch and clears the book; only its own epoch's events follow it.
-    ``latest_only`` keeps just the epoch of the last snapshot. Within an epoch each level holds
-    from its minute to the next minute it changed, so carrying forward is an interval join of
-    the epoch's minutes with each level's intervals, not a join with all earlier states.
+    ``latest_only`` keeps just the epoch of the last snapshot. Each event meets one epoch, that of
+    the last snapshot before it, found by a running maximum and not by a range join.
     """
-    epochs = snapshot_epochs(events, latest_only)
-    inside = (F.col("ingest_time") >= F.col("snapshot_time")) & (F.col("epoch_end").isNull() | (F.col("ingest_time") < F.col("epoch_end")))
+    if "message_id" not in events.columns:
+        events = events.withColumn("message_id", F.lit(""))
+    placed = with_snapshot_time(events.select("product_id", "event_type", "side", "price", "size", "event_time", "ingest_time", "change_index", "message_id"))
+    if latest_only:
+        last = events.where(F.col("event_type") == "snapshot").groupBy("product_id").agg(F.max("ingest_time").alias("snapshot_time"))
+        placed = placed.join(last, ["product_id", "snapshot_time"], "left_semi")
     near = F.abs(F.col("price") - F.col("mid")) <= times(F.col("mid"), band)
-    relevant = events.join(epochs, "product_id").where(inside & near).withColumn("minute", F.date_trunc("MINUTE", "ingest_time"))
-    if "message_id" not in relevant.columns:
-        relevant = relevant.withColumn("message_id", F.lit(""))
+    relevant = placed.join(snapshot_mids(events), ["product_id", "snapshot_time"]).where(near).withColumn("minute", F.date_trunc("MINUTE", "ingest_time"))
     by_minute = relevant.groupBy("product_id", "snapshot_time", "side", "price", "minute").agg(F.max_by("size", _state_order()).alias("size"))
     carried = carry_forward(by_minute, ["product_id", "snapshot_time"], ["side", "price"])
     if not latest_only:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks import config
+from tapeworks.functions.frames import neighbour
 
 
 def channel_counts(messages: DataFrame, channel: str = "channel") -> DataFrame:
@@ -46,19 +47,23 @@ def rate_per_minute(grid: DataFrame, seconds: int) -> DataFrame:
 
 def stalls(beats: DataFrame, timeout: int = config.HEARTBEAT_TIMEOUT_SECONDS, key: str = "product_id", ts: str = "ingest_time") -> DataFrame:
     """Silences longer than ``timeout`` seconds between neighbouring beats."""
-    before = F.lag(ts).over(Window.partitionBy(key).orderBy(ts))
-    rows = beats.select(key, before.alias("silent_from"), F.col(ts).alias("silent_to"))
+    followed = neighbour(beats.select(key, ts), [key], F.col(ts), F.date_trunc("DAY", ts), F.col(ts), "silent_from")
+    rows = followed.select(key, "silent_from", F.col(ts).alias("silent_to"))
     seconds = (F.unix_micros("silent_to") - F.unix_micros("silent_from")) / 1e6
     return rows.withColumn("seconds", seconds).where(F.col("seconds") > timeout)
 
 
 def lag_percentiles(rows: DataFrame, lag: str = "ingest_lag_ms", key: str | None = None) -> DataFrame:
-    """p50, p95 and p99 by rank floor(n * p), at most n - 1, of the sorted lags: exact, and
-    computed by ranks, so no list of lags is gathered."""
-    part = Window.partitionBy(key) if key else Window.partitionBy(F.lit(0))
-    ranked = rows.where(F.col(lag).isNotNull()).withColumn("i", F.row_number().over(part.orderBy(lag)) - 1).withColumn("n", F.count(F.lit(1)).over(part))
-    pick = lambda p: F.max(F.when(F.col("i") == F.least(F.floor(F.col("n") * p), F.col("n") - 1), F.col(lag)))
-    return (ranked.groupBy(key) if key else ranked.groupBy()).agg(*[pick(p).alias(f"p{round(100 * p)}") for p in (0.5, 0.95, 0.99)])
+    """p50, p95 and p99 by rank floor(n * p), at most n - 1, of the sorted lags: exact. Equal lags
+    are counted on the map side first, so a key's window runs over its different lags only."""
+    keyed = rows.where(F.col(lag).isNotNull()).select((F.col(key) if key else F.lit(0)).alias("_key"), F.col(lag).alias("_lag"))
+    counted = keyed.groupBy("_key", "_lag").agg(F.count(F.lit(1)).alias("_n"))
+    part = Window.partitionBy("_key")
+    ranked = counted.withColumn("upto", F.sum("_n").over(part.orderBy("_lag"))).withColumn("n", F.sum("_n").over(part))
+    # the lag of rank r is the least one that more than r rows reach
+    pick = lambda p: F.min(F.when(F.col("upto") > F.least(F.floor(F.col("n") * p), F.col("n") - 1), F.col("_lag")))
+    found = [pick(p).alias(f"p{round(100 * p)}") for p in (0.5, 0.95, 0.99)]
+    return ranked.groupBy(F.col("_key").alias(key)).agg(*found) if key else ranked.groupBy().agg(*found)
 
 
 def log_counters(logs: DataFrame, rules: dict[str, tuple[str, str]]) -> DataFrame:

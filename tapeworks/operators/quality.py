@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks import config
+from tapeworks.functions.frames import neighbour
 from tapeworks.functions.timing import bucket
 
 
@@ -54,11 +55,16 @@ def data_quality(trades: DataFrame, typed: DataFrame, seconds: int = 3600, accur
     )
 
 
-def gaps(trades: DataFrame) -> DataFrame:
+#: Ids of one cell of the search for gaps; a product's ids are dealt to as many tasks as it has cells.
+ID_CELL = 100_000
+
+
+def gaps(trades: DataFrame, most_missing_first: bool = False) -> DataFrame:
     """Every hole between neighbouring ids of a product, over hour borders too."""
-    w = Window.partitionBy("product_id").orderBy("trade_id")
-    after = F.lead("trade_id").over(w)
-    return trades.select("product_id", "trade_id", after.alias("next_trade_id")).where(F.col("next_trade_id") - F.col("trade_id") > 1).withColumn("missing", F.col("next_trade_id") - F.col("trade_id") - 1)
+    ids = trades.select("product_id", "trade_id")
+    after = neighbour(ids, ["product_id"], F.col("trade_id"), F.floor(F.col("trade_id") / ID_CELL), F.col("trade_id"), "next_trade_id", ahead=True)
+    found = after.where(F.col("next_trade_id") - F.col("trade_id") > 1).withColumn("missing", F.col("next_trade_id") - F.col("trade_id") - 1)
+    return found.orderBy(F.desc("missing"), "product_id", "trade_id") if most_missing_first else found
 
 
 def silent_hours(quality: DataFrame) -> DataFrame:

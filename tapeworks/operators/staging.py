@@ -72,17 +72,21 @@ def flatten_l2(raw: DataFrame, products: tuple[str, ...] | None = config.TRACKED
         _has(raw, "publish_time", "timestamp").alias("publish_time"),
         _has(raw, "message_id", "string").alias("message_id"),
     )
-    base = ["product_id", "event_type", "event_time", "ingest_time", "publish_time", "message_id"]
-
-    def levels(event_type: str, field: str, side: Column, at: int, index: Column) -> DataFrame:
-        exploded = parsed.where(F.col("event_type") == event_type).select(*base, F.posexplode(f"p.{field}").alias("i", "level"))
-        return exploded.select(*base, side.alias("side"), num(F.get("level", F.lit(at))).alias("price"), num(F.get("level", F.lit(at + 1))).alias("size"), index.cast("bigint").alias("change_index"))
-
-    every = (
-        levels("l2update", "changes", F.get("level", F.lit(0)), 1, F.col("i"))
-        .unionByName(levels("snapshot", "bids", F.lit("buy"), 0, F.lit(0)))
-        .unionByName(levels("snapshot", "asks", F.lit("sell"), 0, F.lit(0)))
+    def levels(field: str, side: Column | None, indexed: bool) -> Column:
+        at = 0 if side is not None else 1
+        return F.transform(
+            F.coalesce(f"p.{field}", F.array().cast("array<array<string>>")),
+            lambda level, i: F.struct(
+                (F.get(level, F.lit(0)) if side is None else side).alias("side"), num(F.get(level, F.lit(at))).alias("price"), num(F.get(level, F.lit(at + 1))).alias("size"),
+                (i if indexed else F.lit(0)).cast("bigint").alias("change_index"),
+            ),
+        )
+
+    # one scan, one parse, one explode
+    of_message = F.when(F.col("event_type") == "l2update", levels("changes", None, True)).when(
+        F.col("event_type") == "snapshot", F.concat(levels("bids", F.lit("buy"), False), levels("asks", F.lit("sell"), False))
     )
+    every = parsed.select("product_id", "event_type", "event_time", "ingest_time", "publish_time", "message_id", F.inline(of_message))
     return _timed(every.withColumn("is_removal", F.col("size") == 0))
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeworks import config
+from tapeworks.functions.frames import neighbour
 from tapeworks.functions.timing import day
 
 
@@ -18,8 +19,9 @@ def realized_vol(bars: DataFrame, seconds: int = 3600, per_year: int = config.MI
     one gives the first return, so an incremental run equals a full one.
     """
     x = {c: F.col(c).cast("double") for c in ("open", "high", "low", "close")}
-    before = F.lag(x["close"]).over(Window.partitionBy("product_id").orderBy("bar_start"))
-    rows = bars.select("product_id", "bar_start", F.ln(x["close"] / before).alias("r"), F.ln(x["high"] / x["low"]).alias("hl"), F.ln(x["close"] / x["open"]).alias("co"))
+    narrow = bars.select("product_id", "bar_start", "open", "high", "low", "close")
+    followed = neighbour(narrow, ["product_id"], F.col("bar_start"), F.date_trunc("DAY", "bar_start"), x["close"], "before")
+    rows = followed.select("product_id", "bar_start", F.ln(x["close"] / F.col("before")).alias("r"), F.ln(x["high"] / x["low"]).alias("hl"), F.ln(x["close"] / x["open"]).alias("co"))
     if since is not None:
         rows = rows.where(F.to_date("bar_start") >= F.lit(since))
     start = F.timestamp_seconds(F.floor(F.unix_seconds("bar_start") / F.lit(seconds)) * F.lit(seconds))

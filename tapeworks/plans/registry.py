@@ -9,10 +9,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapeworks.functions.frames import running
 from tapeworks.functions.numeric import NUM
 from tapeworks.operators import backfill, bars, book, checks, continuity, monitor, quality, recon, staging, volatility
 from tapeworks.plans.tape import TAPE_SQL, events, load, tape
@@ -450,5 +451,5 @@ def order_book_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {TAPE_SQL} SELECT product_id, trade_id, sum(lots) OVER (PARTITION BY product_id ORDER BY trade_id)::BIGINT AS running_lots FROM tape""")
 def running_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("product_id").orderBy("trade_id")
-    return tape(spark, sf_dir).select("product_id", "trade_id", F.sum((F.col("size") * 100).cast("bigint")).over(w).alias("running_lots"))
+    lots = tape(spark, sf_dir).select("product_id", "trade_id", (F.col("size") * 100).cast("bigint").alias("lots"))
+    return running(lots, ["product_id"], F.col("trade_id"), F.floor(F.col("trade_id") / quality.ID_CELL), F.col("lots"), "running_lots").drop("lots")
