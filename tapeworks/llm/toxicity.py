@@ -1,23 +1,26 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Fitting uses at most ``MAX_EXAMPLES`` labelled rows (a documented bound; those with the
-smallest hash of their id), one of each distinct text. Terms are words and word beginnings of
-4 to 6 letters that mark the toxic examples: the lower confidence bound of their share of
-toxic examples is at least ``LEAST_SHARE``. Counts and document frequencies are those of the
-examples, whose index it is. Examples without any term have a zero vector, are near nothing,
-and give the score of texts without any.
+Fitting uses at most ``MAX_EXAMPLES`` labelled rows (the documented bound; those with the smallest
+hash of their id), one of each distinct text. The vocabulary is every word of theirs and
+every beginning of ``PREFIX`` letters of longer words, without selection. A term's weight
+is (1 + ln tf) * idf * relevance: document frequencies are counted over all documents, and the
+relevance, between ``FLOOR`` and 1, grows with the lower confidence bound of the share of toxic examples
+among those that have the term. Vectors have length one in the space of these terms. Clean examples
+are indexed and vote like toxic ones.
 
 The inverted index keeps, for each term and each block of ``BLOCK`` examples, the largest
-weight. A query adds these up to a bound per block, visits blocks by falling bound, scores
-their postings exactly, and stops when no bound can reach the k-th best cosine: the k nearest
-are exact. Their votes, weighted by closeness, are calibrated by isotonic regression on the
-examples' own leave-one-out votes. The neighbours are returned as evidence.
-
-Index size is bounded by ``MAX_EXAMPLES`` and ``MAX_TERMS``, so it is broadcast. Every whole
-text of the table is scored, by its text alone. Defined results: null and empty texts, and
-texts without terms, get the zero vector's score; without usable labels every score is 0;
-repeated rows are scored alike; labels that are null or name no document are ignored;
-held_out is false where the id is null; other columns are ignored.
+weight. A query adds these up to a bound per block, scores the postings of the blocks of highest
+bound, and then those of the blocks whose bound can reach the k-th best cosine: the k nearest are exact. Examples are ordered by the nearest of a few seeds among them, so that
+a block's examples are alike and its bound tight. Votes are weighted by inverse distance and calibrated
+by isotonic regression on the examples' leave-one-out votes, computed on the executors. The
+nearest are returned as evidence.
+
+The index is bounded by the texts of ``MAX_EXAMPLES`` examples and broadcast. Every whole
+text of the table is scored, by its text alone. Defined results: texts without any known term
+(null and empty ones among them) have no neighbours and get the share of toxic among such
+examples, drawn to the share among all; without usable labels every score is 0; repeated rows
+are scored alike; labels that are null or name no document are ignored; held_out is false
+where the id is null; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,14 +38,17 @@ from pyspark.sql import functions as F
 
 from tapeworks.llm.common import cut, table
 
-MAX_EXAMPLES = 20_000
-MAX_TERMS = 4096
-LEAST_COUNT = 5
-LEAST_SHARE = 0.62
-_Z = 1.96
+MAX_EXAMPLES = 8192
 NEIGHBOURS = 15
 BLOCK = 64
-PREFIXES = (4, 5, 6)
+SEEDS = 64
+#: Blocks visited first, for a k-th best cosine to hold the others' bounds against.
+FIRST = 6
+PREFIX = 5
+FLOOR = 0.1
+#: Distance added to every neighbour's, so that an equal text weighs 50 times as much as one without common terms.
+NEAREST = 0.02
+_Z = 1.96
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -50,196 +56,300 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def terms_of(words: set[str]) -> set[str]:
-    """Words, and their beginnings marked by a star."""
-    found = set(words)
-    for p in PREFIXES:
-        found |= {w[:p] + "*" for w in words if len(w) > p}
+def terms_of(text: str | None) -> Counter[str]:
+    """Words, and their beginnings marked by a star, with their counts."""
+    words = Counter(words_of(text))
+    found = Counter(words)
+    for w, n in words.items():
+        if len(w) > PREFIX:
+            found[w[:PREFIX] + "*"] += n
     return found
 
 
-def lower_share(hits: float, n: float) -> float:
+def lower_share(hits: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Wilson lower bound of hits / n."""
-    if not n:
-        return 0.0
     p = hits / n
-    return (p + _Z * _Z / (2 * n) - _Z * math.sqrt(p * (1 - p) / n + _Z * _Z / (4 * n * n))) / (1 + _Z * _Z / n)
+    return (p + _Z * _Z / (2 * n) - _Z * np.sqrt(p * (1 - p) / n + _Z * _Z / (4 * n * n))) / (1 + _Z * _Z / n)
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges [start, end), one after the other."""
+    sizes = ends - starts
+    return np.arange(sizes.sum()) + np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) if len(sizes) else np.empty(0, np.int64)
 
 
 @dataclass
 class Index:
-    """Examples with a vector, their labels and postings by block."""
+    """Examples, their labels, and postings by term and block."""
 
     terms: dict[str, int] = field(default_factory=dict)
     idf: np.ndarray = field(default_factory=lambda: np.empty(0))
+    n: np.ndarray = field(default_factory=lambda: np.empty(0))
+    n_toxic: np.ndarray = field(default_factory=lambda: np.empty(0))
     ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    keys: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     labels: np.ndarray = field(default_factory=lambda: np.empty(0))
-    posting_ids: list[np.ndarray] = field(default_factory=list)
-    posting_weights: list[np.ndarray] = field(default_factory=list)
-    block_max: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
-    block_start: np.ndarray = field(default_factory=lambda: np.empty((0, 1), np.int32))
-    zero_score: float = 0.0
     base_rate: float = 0.0
-    steps: tuple[np.ndarray, np.ndarray] = (np.empty(0), np.empty(0))
 
-    def prepare(self) -> None:
-        self.whole = {t for t in self.terms if t[-1] != "*"}
-        self.begin = {p: {t[:-1] for t in self.terms if t[-1] == "*" and len(t) == p + 1} for p in PREFIXES}
-
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-        """(term numbers, unit-length weights), or None for the zero vector."""
-        words = words_of(text)
-        present = set(words)
-        hot = present & self.whole
-        for p, begins in self.begin.items():
-            if begins:
-                hot |= {w for w in present if w[:p] in begins and len(w) > p}
-        if not hot:
+    def relevance(self, numbers: np.ndarray, left_out: int | None) -> np.ndarray:
+        """Of terms, by the examples that have them; ``left_out`` is the label of one that has no say."""
+        n, toxic = self.n[numbers], self.n_toxic[numbers]
+        if left_out is not None:
+            n, toxic = n - 1, toxic - left_out
+        share = np.where(n > 0, lower_share(toxic, np.maximum(n, 1)), 0.0)
+        return FLOOR + (1 - FLOOR) * np.maximum(0, share - self.base_rate) / max(1 - self.base_rate, 1e-9)
+
+    def vector(self, text: str | None, left_out: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
+        """(term numbers, weights of unit length), or None where no term is known."""
+        counts: dict[int, int] = {}
+        known = self.terms.get
+        for w, n in Counter(words_of(text)).items():
+            if (k := known(w)) is not None:
+                counts[k] = counts.get(k, 0) + n
+            if len(w) > PREFIX and (k := known(w[:PREFIX] + "*")) is not None:
+                counts[k] = counts.get(k, 0) + n
+        if not counts:
             return None
-        counts: Counter[int] = Counter()
-        for w, n in Counter(w for w in words if w in hot).items():
-            for t in (w, *(w[:p] + "*" for p in PREFIXES if len(w) > p)):
-                if (k := self.terms.get(t)) is not None:
-                    counts[k] += n
-        numbers = np.fromiter(sorted(counts), dtype=np.int64)
-        weights = (1 + np.log([counts[k] for k in numbers])) * self.idf[numbers]
+        numbers = np.fromiter(counts, np.int64, len(counts))
+        tf = np.fromiter(counts.values(), np.float64, len(counts))
+        order = np.argsort(numbers)
+        numbers = numbers[order]
+        weights = (1 + np.log(tf[order])) * self.idf[numbers] * (self.weighing[numbers] if left_out is None else self.relevance(numbers, left_out))
         return numbers, weights / np.sqrt(weights @ weights)
 
+    def fill(self, ids: np.ndarray, keys: np.ndarray, labels: np.ndarray, starts: np.ndarray, numbers: np.ndarray, weights: np.ndarray) -> None:
+        """Postings of examples; example i's vector is at starts[i] : starts[i + 1]."""
+        self._post(np.repeat(np.arange(len(ids)), np.diff(starts)), numbers, weights, len(ids))
+        order = self._by_seeds(starts, numbers, weights, keys)
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        self.ids, self.keys, self.labels = ids[order], keys[order], labels[order]
+        self._post(np.repeat(place, np.diff(starts)), numbers, weights, len(ids))
+
+    def _post(self, examples: np.ndarray, numbers: np.ndarray, weights: np.ndarray, n: int) -> None:
+        order = np.lexsort((examples, numbers))
+        examples, numbers = examples[order], numbers[order]
+        self.post_example, self.post_weight = examples.astype(np.int32), weights[order]
+        blocks = examples // BLOCK
+        first = np.flatnonzero(np.r_[True, (numbers[1:] != numbers[:-1]) | (blocks[1:] != blocks[:-1])]) if len(numbers) else np.empty(0, np.int64)
+        self.seg_start = np.r_[first, len(numbers)].astype(np.int64)
+        self.seg_block = blocks[first].astype(np.int32)
+        self.seg_max = np.maximum.reduceat(self.post_weight, first) if len(first) else np.empty(0)
+        self.term_start = np.searchsorted(numbers[first], np.arange(len(self.terms) + 1))
+        self.size, self.n_blocks = n, -(-n // BLOCK)
+
+    def _by_seeds(self, starts: np.ndarray, numbers: np.ndarray, weights: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Examples by their nearest seed; seeds are those of smallest key, a hash."""
+        best, of = np.full(self.size, -1.0), np.zeros(self.size, np.int64)
+        for s, i in enumerate(np.argsort(keys, kind="stable")[:SEEDS]):
+            part = slice(starts[i], starts[i + 1])
+            near = self._all_scores(numbers[part], weights[part])
+            of, best = np.where(near > best, s, of), np.maximum(near, best)
+        return np.lexsort((keys, -best, of))
+
+    def _all_scores(self, numbers: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        a, b = self.seg_start[self.term_start[numbers]], self.seg_start[self.term_start[numbers + 1]]
+        at = _ranges(a, b)
+        return np.bincount(self.post_example[at], self.post_weight[at] * np.repeat(weights, b - a), minlength=self.size)
+
     def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """Exact (cosine, example number) of the k nearest; ties to the smaller number."""
-        if not len(self.ids):
-            return []
-        bounds = weights @ self.block_max[numbers]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(best) >= k and bounds[b] < -best[-1][0] - 1e-12):
+        """Exact (cosine, example number) of the k nearest of positive cosine; ties to the smaller id."""
+        a, b = self.term_start[numbers], self.term_start[numbers + 1]
+        segments, of_term = _ranges(a, b), np.repeat(weights, b - a)
+        blocks = self.seg_block[segments]
+        bounds = np.bincount(blocks, self.seg_max[segments] * of_term, minlength=self.n_blocks)
+        order = np.argsort(-bounds)
+        found_scores, found_at, worst = np.empty(0), np.empty(0, np.int64), 0.0
+        # a few blocks of highest bound give a k-th best that most others can't reach
+        for now in (order[:FIRST], order[FIRST:]):
+            now = now[(bounds[now] > 0) & (bounds[now] >= worst - 1e-12)]
+            if not len(now):
                 break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(numbers, weights, strict=True):
-                s, e = self.block_start[t, b], self.block_start[t, b + 1]
-                if s < e:
-                    scores[self.posting_ids[t][s:e] - b * BLOCK] += w * self.posting_weights[t][s:e]
-            best += [(-scores[i], int(b * BLOCK + i)) for i in np.flatnonzero(scores) if b * BLOCK + i != skip]
-            best = sorted(best)[:k]
-        return [(min(1.0, -s), i) for s, i in best]
+            chosen = np.zeros(self.n_blocks, np.bool_)
+            chosen[now] = True
+            inside = np.flatnonzero(chosen[blocks])
+            s = segments[inside]
+            starts, ends = self.seg_start[s], self.seg_start[s + 1]
+            post = _ranges(starts, ends)
+            scores = np.bincount(self.post_example[post], self.post_weight[post] * np.repeat(of_term[inside], ends - starts), minlength=self.size)
+            if skip >= 0:
+                scores[skip] = 0
+            hit = np.flatnonzero(scores > max(0.0, worst - 1e-12))
+            found_scores, found_at = np.r_[found_scores, scores[hit]], np.r_[found_at, hit]
+            if len(found_at) > k:
+                hit = np.flatnonzero(found_scores >= -np.partition(-found_scores, k - 1)[k - 1])
+                found_scores, found_at = found_scores[hit], found_at[hit]
+                top = np.lexsort((self.ids[found_at], -found_scores))[:k]
+            else:
+                top = np.lexsort((self.ids[found_at], -found_scores))
+            found_scores, found_at = found_scores[top], found_at[top]
+            worst = found_scores[-1] if len(found_scores) == k else 0.0
+        return [(min(1.0, float(s)), int(i)) for s, i in zip(found_scores, found_at, strict=True)]
 
     def vote(self, near: list[tuple[float, int]]) -> float:
-        weights = np.array([1 / (1.05 - s) for s, _ in near])
-        labels = self.labels[[i for _, i in near]]
-        return float((weights @ labels + self.base_rate) / (weights.sum() + 1))
+        weights = np.array([1 / (1 + NEAREST - s) for s, _ in near])
+        return float((weights @ self.labels[[i for _, i in near]] + self.base_rate) / (weights.sum() + 1))
 
-    def calibrated(self, vote: float) -> float:
-        edges, values = self.steps
-        return float(values[max(0, np.searchsorted(edges, vote, side="right") - 1)]) if len(edges) else vote
+
+@dataclass
+class Model:
+    """An index and what turns its votes into scores."""
+
+    index: Index
+    steps: tuple[np.ndarray, np.ndarray] = (np.empty(0), np.empty(0))
+    zero_score: float = 0.0
 
     def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
-        vector = self.vector(text)
-        near = self.nearest(*vector, NEIGHBOURS) if vector else []
-        return (self.calibrated(self.vote(near)) if near else self.zero_score), near
+        vector = self.index.vector(text)
+        near = self.index.nearest(*vector, NEIGHBOURS) if vector else []
+        if not near:
+            return self.zero_score, near
+        edges, values = self.steps
+        vote = self.index.vote(near)
+        return (float(values[max(0, np.searchsorted(edges, vote, side="right") - 1)]) if len(edges) else vote), near
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Steps (left edges, values) of the monotone least-squares fit, shrunk by half a vote each way."""
+    """Steps (left edges, values) of a monotone fit whose pools are shrunk by half a vote each way.
+
+    Neighbouring pools are joined as long as their shrunk values fall, so the values grow."""
     pools: list[list[float]] = []
+    value = lambda p: (p[1] + 0.5) / (p[2] + 1)
     for a, b in zip(x[order := np.argsort(x, kind="stable")], y[order], strict=True):
         if pools and pools[-1][0] == a:
             pools[-1][1] += b
             pools[-1][2] += 1
         else:
             pools.append([a, b, 1])
-        while len(pools) > 1 and pools[-2][1] / pools[-2][2] >= pools[-1][1] / pools[-1][2]:
+        while len(pools) > 1 and value(pools[-2]) >= value(pools[-1]):
             last = pools.pop()
             pools[-1][1] += last[1]
             pools[-1][2] += last[2]
-    return np.array([p[0] for p in pools]), np.array([(p[1] + 0.5) / (p[2] + 1) for p in pools])
+    return np.array([p[0] for p in pools]), np.array([value(p) for p in pools])
 
 
 def is_held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, id_col: str = "doc_id", text_col: str = "text") -> Index:
-    """Fit on labelled rows outside the held-out fold."""
+def _examples(docs: DataFrame, labels: DataFrame, max_examples: int, id_col: str, text_col: str) -> DataFrame:
+    """(key, id, toxic, text) of the sample, one row of each distinct text; key is a hash of the text."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~is_held_out(F.col(id_col)))
-    chosen = usable.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("id"), "id").limit(max_examples)
+    chosen = usable.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("id"), "id", "toxic").limit(max_examples)
     chosen = cut(chosen, "chosen")  # bounded by max_examples
     mine = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
-    examples = cut(mine.groupBy("text").agg(F.min("id").cast("long").alias("id"), F.max("toxic").alias("toxic")), "examples")
+    one_each = mine.groupBy("text").agg(F.min("id").cast("long").alias("id"), (F.max("toxic") == 1).cast("int").alias("toxic"))
+    return cut(one_each.select(F.xxhash64("text").alias("key"), "id", "toxic", "text"), "examples")
+
+
+def _vocabulary(examples: DataFrame) -> pa.Table:
+    """(term, n, n_toxic) of every term of the examples, by term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, toxic = Counter(), Counter()
+        for batch in batches:
+            for label, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = terms_of(text).keys()
+                n.update(found)
+                if label:
+                    toxic.update(found)
+        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([toxic[t] for t in n], pa.int64())], names=["term", "n", "n_toxic"])
+
+    counted = examples.select("toxic", "text").mapInArrow(run, "term string, n bigint, n_toxic bigint")
+    return counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")).orderBy("term").toArrow()
+
+
+def _document_frequencies(docs: DataFrame, terms: dict[str, int], text_col: str) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those that hold each term."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+    n = len(terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, counts, seen = shared.value.get, np.zeros(n + 1, np.int64), 0
+        for batch in batches:
+            for text in batch.column(0):
+                words = set(words_of(text.as_py()))
+                here = {known(w) for w in words}
+                here |= {known(b + "*") for b in {w[:PREFIX] for w in words if len(w) > PREFIX}}
+                here.discard(None)
+                counts[np.fromiter(here, np.int64, len(here))] += 1
+                seen += 1
+        counts[n] = seen
+        hit = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(counts[hit])], names=["k", "n"])
+
+    found = docs.select(text_col).mapInArrow(run, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(n + 1, np.int64)
+    counts[found["k"].to_numpy()] = found["n"].to_numpy()
+    shared.destroy()
+    return int(counts[n]), counts[:n]
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Fit on labelled rows outside the held-out fold."""
+    spark = docs.sparkSession
+    examples = _examples(docs, labels, max_examples, id_col, text_col)
     totals = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n, n_toxic = sum(totals.values()), totals.get(1, 0)
     if not n:
-        return Index()
-
-    def counted(wanted: set[str] | None):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            counts: Counter[str] = Counter()
-            for batch in batches:
-                for text in batch.column(0):
-                    terms = terms_of(set(words_of(text.as_py())))
-                    counts.update(terms if wanted is None else terms & wanted)
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
-
-        return run
-
-    def counts(rows: DataFrame, wanted: set[str] | None, least: int) -> dict[str, int]:
-        summed = rows.select("text").mapInArrow(counted(wanted), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
-        return {r["term"]: r["n"] for r in summed.where(F.col("n") >= least).orderBy(F.desc("n"), "term").limit(20 * MAX_TERMS).collect()}
-
-    toxic = counts(examples.where("toxic = 1"), None, LEAST_COUNT)
-    clean = counts(examples.where("toxic <> 1"), set(toxic), 1)
-    share = {t: lower_share(c, c + clean.get(t, 0)) for t, c in toxic.items()}
-    terms = sorted((t for t, s in share.items() if s >= LEAST_SHARE), key=lambda t: (-share[t] * toxic[t], t))[:MAX_TERMS]
-    index = Index(terms={t: i for i, t in enumerate(terms)}, base_rate=n_toxic / n)
-    index.idf = np.array([math.log((1 + n) / (1 + toxic[t] + clean.get(t, 0))) + 1 for t in terms])
-    index.prepare()
+        return Model(Index())
+    words = _vocabulary(examples)
+    index = Index(terms={t: i for i, t in enumerate(words["term"].to_pylist())}, base_rate=n_toxic / n)
+    n_docs, df = _document_frequencies(docs, index.terms, text_col)
+    index.n, index.n_toxic = words["n"].to_numpy(), words["n_toxic"].to_numpy()
+    index.idf = np.log((1 + n_docs) / (1 + df)) + 1
+    index.weighing = index.relevance(np.arange(len(index.terms)), None)
+
+    light = spark.sparkContext.broadcast(index)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.float64())]
         for batch in batches:
-            rows = [(i.as_py(), y.as_py(), *v) for i, y, text in zip(*batch.columns, strict=True) if (v := index.vector(text.as_py()))]
-            kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.float64())]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["id", "toxic", "numbers", "weights"])
-
-    found = examples.select("id", "toxic", "text").mapInArrow(vectors, "id bigint, toxic int, numbers array<bigint>, weights array<double>").orderBy("id", "toxic").collect()
-    seen = sum(r["toxic"] == 1 for r in found)
-    index.zero_score = (n_toxic - seen + 0.5) / (n - len(found) + 1)
-    if not found:
-        return index
-    _fill(index, found, len(terms))
-    loo = np.array([index.vote(near) if (near := index.nearest(np.array(r["numbers"]), np.array(r["weights"]), NEIGHBOURS, skip=i)) else index.base_rate for i, r in enumerate(found)])
-    index.steps = isotonic(loo, index.labels)
-    return index
-
-
-def _fill(index: Index, found: list, n_terms: int) -> None:
-    """Postings and block maxima from rows of (id, toxic, numbers, weights)."""
-    index.ids, index.labels = np.array([r["id"] for r in found]), np.array([float(r["toxic"] == 1) for r in found])
-    ids: list[list[int]] = [[] for _ in range(n_terms)]
-    weights: list[list[float]] = [[] for _ in range(n_terms)]
-    for i, r in enumerate(found):
-        for t, w in zip(r["numbers"], r["weights"], strict=True):
-            ids[t].append(i)
-            weights[t].append(w)
-    n_blocks = -(-len(found) // BLOCK)
-    index.posting_ids, index.posting_weights = [np.array(x, dtype=np.int64) for x in ids], [np.array(x) for x in weights]
-    index.block_max, index.block_start = np.zeros((n_terms, n_blocks)), np.zeros((n_terms, n_blocks + 1), dtype=np.int32)
-    for t in range(n_terms):
-        np.maximum.at(index.block_max[t], index.posting_ids[t] // BLOCK, index.posting_weights[t])
-        index.block_start[t] = np.searchsorted(index.posting_ids[t], np.arange(n_blocks + 1) * BLOCK)
-
-
-def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            rows = [(k, i, y, *v) for k, i, y, text in zip(*(c.to_pylist() for c in batch.columns), strict=True) if (v := light.value.vector(text))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["key", "id", "toxic", "numbers", "weights"])
+
+    found = examples.mapInArrow(vectors, "key bigint, id bigint, toxic int, numbers array<bigint>, weights array<double>").orderBy("id", "key").toArrow().combine_chunks()
+    light.destroy()
+    seen = int(found["toxic"].to_numpy().sum())
+    model = Model(index, zero_score=(n_toxic - seen + index.base_rate) / (n - len(found) + 1))
+    if not len(found):
+        return model
+    sizes = found["numbers"].combine_chunks().value_lengths().to_numpy()
+    flat = [found[c].combine_chunks().flatten().to_numpy() for c in ("numbers", "weights")]
+    index.fill(found["id"].to_numpy(), found["key"].to_numpy(), found["toxic"].to_numpy().astype(float), np.r_[0, np.cumsum(sizes)], *flat)
+
+    full = spark.sparkContext.broadcast(index)
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = {int(k): i for i, k in enumerate(full.value.keys)}
+        for batch in batches:
+            rows = []
+            for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                label = full.value.labels[place[key]] if key in place else None
+                if label is not None and (vector := full.value.vector(text, left_out=int(label))):
+                    near = full.value.nearest(*vector, NEIGHBOURS, skip=place[key])
+                    rows.append((full.value.vote(near) if near else full.value.base_rate, label))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.float64()) for i in (0, 1)], names=["vote", "label"])
+
+    # a few examples are much work: deal them to all cores
+    votes = examples.select("key", "text").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").mapInArrow(left_out, "vote double, label double").toArrow()
+    full.destroy()
+    model.steps = isotonic(votes["vote"].to_numpy(), votes["label"].to_numpy())
+    return model
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, score, predicted, evidence (nearest examples)."""
-    spark = docs.sparkSession
-    index.prepare()
-    shared = spark.sparkContext.broadcast(index)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     evidence_type = pa.list_(pa.struct([("example", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        ids, labels = model.index.ids, model.index.labels
         for batch in batches:
             results = [model.score(t.as_py()) for t in batch.column(2)]
             scores = pa.array([s for s, _ in results], pa.float64())
-            evidence = pa.array([[{"example": int(model.ids[i]), "cosine": c, "toxic": int(model.labels[i])} for c, i in near[:5]] for _, near in results], evidence_type)
+            evidence = pa.array([[{"example": int(ids[i]), "cosine": c, "toxic": int(labels[i])} for c, i in near[:5]] for _, near in results], evidence_type)
             predicted = pa.array([int(s >= 0.5) for s, _ in results], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), scores, predicted, evidence], names=["doc_id", "held_out", "score", "predicted", "evidence"])
 
@@ -249,10 +359,9 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
     )
 
 
-def remove_toxic(docs: DataFrame, index: Index, text_col: str = "text") -> DataFrame:
+def remove_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows predicted toxic; all columns stay."""
-    index.prepare()
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,7 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -29,9 +31,12 @@ def corpus(n=1200):
     return texts, toxic
 
 
+corpus_texts = corpus()
+
+
 @pytest.fixture(scope="module")
 def fitted(spark, docs_of):
-    texts, toxic = corpus()
+    texts, toxic = corpus_texts
     docs = docs_of(texts)
     labels = spark.createDataFrame([(i, 1, y) for i, y in enumerate(toxic)] + [(None, 1, 1), (3, 1, None), (10**9, 1, 1)], "doc_id bigint, quality int, toxic int")
     return docs, labels, toxic, tox.fit(docs, labels)
@@ -50,28 +55,78 @@ def test_held_out_accuracy(fitted):
 
 
 def test_labels_of_the_held_out_fold_are_not_used(spark, fitted):
-    docs, labels, _, index = fitted
+    docs, labels, _, model = fitted
     flipped = labels.withColumn("toxic", F.when(tox.is_held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     again = tox.fit(docs, flipped)
-    assert again.terms == index.terms and (again.labels == index.labels).all() and again.zero_score == index.zero_score
-
-
-def test_nearest_is_exact(fitted):
-    docs, _, _, index = fitted
-    dense = np.zeros((len(index.ids), len(index.terms)))
-    for t, (ids, weights) in enumerate(zip(index.posting_ids, index.posting_weights, strict=True)):
-        dense[ids, t] = weights
-    checked = 0
-    for row in docs.limit(300).collect():
-        if vector := index.vector(row.text):
-            q = np.zeros(len(index.terms))
-            q[vector[0]] = vector[1]
-            scores = dense @ q
-            want = sorted((-s, i) for i, s in enumerate(scores) if s > 0)[: tox.NEIGHBOURS]
-            got = index.nearest(*vector, tox.NEIGHBOURS)
-            assert np.allclose([-s for s, _ in want], [s for s, _ in got]) and len(got) == len(want)
-            checked += 1
-    assert checked > 20
+    assert again.index.terms == model.index.terms and (again.index.labels == model.index.labels).all() and again.zero_score == model.zero_score
+    assert (again.index.weighing == model.index.weighing).all() and (again.steps[1] == model.steps[1]).all()
+
+
+def plain_vectors(texts, toxic):
+    """TF-IDF by dictionaries: document frequencies of all texts, relevance from the fitted fold."""
+    fold = {t: y for i, (t, y) in enumerate(zip(texts, toxic, strict=True)) if zlib.crc32(str(i).encode()) % 5}
+    counts = {t: tox.terms_of(t) for t in texts}
+    df, n, bad = Counter(), Counter(), Counter()
+    for t in texts:
+        df.update(counts[t].keys())
+    for t, y in fold.items():
+        n.update(counts[t].keys())
+        bad.update({k: y for k in counts[t]})
+    base = sum(fold.values()) / len(fold)
+
+    def weight(k):
+        p, m, z = bad[k] / n[k], n[k], 1.96
+        low = (p + z * z / (2 * m) - z * math.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+        return (math.log((1 + len(texts)) / (1 + df[k])) + 1) * (tox.FLOOR + (1 - tox.FLOOR) * max(0, low - base) / (1 - base))
+
+    def vector(t):
+        v = {k: (1 + math.log(c)) * weight(k) for k, c in counts[t].items() if n[k]}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {k: x / size for k, x in v.items()}
+
+    return {t: vector(t) for t in fold}, vector
+
+
+def test_nearest_equal_brute_force_over_the_whole_vocabulary(fitted):
+    _, _, toxic, model = fitted
+    texts, _ = corpus_texts
+    known, vector = plain_vectors(texts, toxic)
+    ids = {texts.index(t) for t in known}
+    assert set(model.index.ids.tolist()) == ids and {int(model.index.labels[i]) for i in range(len(ids))} == {0, 1}
+    assert set(model.index.terms) == {k for t in known for k in tox.terms_of(t)}
+    for text in R.sample(texts, 150):
+        q = vector(text)
+        cosines = ((sum(w * v.get(k, 0) for k, w in q.items()), texts.index(t)) for t, v in known.items())
+        scores = sorted((-s, i) for s, i in cosines if s > 0)[: tox.NEIGHBOURS]
+        got = model.index.nearest(*model.index.vector(text), tox.NEIGHBOURS)
+        assert np.allclose([-s for s, _ in scores], [s for s, _ in got])
+        clear = [i for (s, i), (t, _) in zip(scores, scores[1:], strict=False) if abs(s - t) > 1e-9]
+        assert {i for i in clear} <= {int(model.index.ids[i]) for _, i in got}
+
+
+def test_blocks_that_cannot_reach_the_best_are_left_out(fitted, monkeypatch):
+    model, seen = fitted[3], []
+    ranges = tox._ranges
+    monkeypatch.setattr(tox, "_ranges", lambda a, b: seen.append(int((b - a).sum())) or ranges(a, b))
+    shares = []
+    for text in corpus_texts[0][:100]:
+        numbers, weights = model.index.vector(text)
+        whole = int((model.index.seg_start[model.index.term_start[numbers + 1]] - model.index.seg_start[model.index.term_start[numbers]]).sum())
+        seen.clear()
+        model.index.nearest(numbers, weights, tox.NEIGHBOURS)
+        shares.append(sum(seen[1:]) / whole)
+    assert np.mean(shares) < 0.95 and max(shares) <= 1
+
+
+def test_an_equal_text_outvotes_its_neighbours(spark, docs_of):
+    texts, toxic = corpus(400)
+    plain = " ".join(word() for _ in range(30))  # nothing of the known bad words
+    mine = next(i for i in range(90_000, 90_100) if zlib.crc32(str(i).encode()) % 5)
+    docs = docs_of([*texts, plain, plain], [*range(len(texts)), 80_000, mine])
+    labels = spark.createDataFrame([(i, y) for i, y in enumerate(toxic)] + [(mine, 1)], "doc_id bigint, toxic int")
+    model = tox.fit(docs, labels)
+    near = model.score(plain)[1]
+    assert near[0][0] == pytest.approx(1) and model.index.ids[near[0][1]] == mine and model.index.vote(near) > 0.5
 
 
 def test_odd_inputs(spark, docs_of, fitted):
@@ -86,3 +141,6 @@ def test_odd_inputs(spark, docs_of, fitted):
 def test_isotonic():
     edges, values = tox.isotonic(np.array([0.1, 0.2, 0.3, 0.9, 0.9]), np.array([0, 1, 0, 1, 1]))
     assert (np.diff(edges) > 0).all() and (np.diff(values) > 0).all()
+    votes = np.r_[np.full(50, 0.1), np.full(100, 0.5), 0.9]
+    edges, values = tox.isotonic(votes, np.r_[np.zeros(50), np.ones(99), 0, 1])
+    assert (np.diff(values) >= 0).all() and values[-1] > 0.9
