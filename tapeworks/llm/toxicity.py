@@ -1,7 +1,8 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Fitting uses at most ``MAX_EXAMPLES`` labelled rows (the documented bound; those with the smallest
-hash of their id), one of each distinct text. The vocabulary is every word of theirs and
+Fitting uses at most ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` clean labelled rows (the documented bound;
+those with the smallest hash of their id), one of each distinct text. Where the bounds change
+the labels' proportion, clean examples count with the weight that restores it. The vocabulary is every word of theirs and
 every beginning of ``PREFIX`` letters of longer words, without selection. A term's weight
 is (1 + ln tf) * idf * relevance: document frequencies are counted over all documents, and the
 relevance, between ``FLOOR`` and 1, grows with the lower confidence bound of the share of toxic examples
@@ -15,7 +16,7 @@ a block's examples are alike and its bound tight. Votes are weighted by inverse
 by isotonic regression on the examples' leave-one-out votes, computed on the executors. The
 nearest are returned as evidence.
 
-The index is bounded by the texts of ``MAX_EXAMPLES`` examples and broadcast. Every whole
+The index is bounded by the texts of the examples and broadcast. Every whole
 text of the table is scored, by its text alone. Defined results: texts without any known term
 (null and empty ones among them) have no neighbours and get the share of toxic among such
 examples, drawn to the share among all; without usable labels every score is 0; repeated rows
@@ -25,11 +26,11 @@ where the id is null; other columns are ignored.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,8 @@ from pyspark.sql import functions as F
 
 from tapeworks.llm.common import cut, table
 
-MAX_EXAMPLES = 8192
+#: Labelled rows a model is fitted on at most, by label: toxic ones are few, and vary more.
+MAX_TOXIC, MAX_CLEAN = 1024, 2048
 NEIGHBOURS = 15
 BLOCK = 64
 SEEDS = 64
@@ -48,6 +50,12 @@ PREFIX = 5
 FLOOR = 0.1
 #: Distance added to every neighbour's, so that an equal text weighs 50 times as much as one without common terms.
 NEAREST = 0.02
+#: Terms that one example in so many has are kept dense.
+DENSE = 16
+#: Words a worker remembers the terms of.
+REMEMBERED = 300_000
+#: Stored weights are of single precision.
+_SLACK = 1e-6
 _Z = 1.96
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -66,6 +74,34 @@ def terms_of(text: str | None) -> Counter[str]:
     return found
 
 
+class _Known(dict):
+    """Word -> numbers of its two terms (that of no term: len(terms)), remembered for common words."""
+
+    def __init__(self, terms: dict[str, int]) -> None:
+        self.terms, self.none = terms, len(terms)
+
+    def __missing__(self, word: str) -> tuple[int, int]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self.terms.get(word, self.none), self.terms.get(word[:PREFIX] + "*", self.none) if len(word) > PREFIX else self.none
+        self[word] = found
+        return found
+
+    def counted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the text's known terms, ascending, their counts)."""
+        words = Counter(words_of(text))
+        numbers = np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64, 2 * len(words))
+        counts = np.repeat(np.fromiter(words.values(), np.int64, len(words)), 2)
+        order = np.argsort(numbers, kind="stable")
+        numbers, counts = numbers[order], counts[order]
+        known = int(np.searchsorted(numbers, self.none))
+        if not known:
+            return numbers[:0], counts[:0]
+        numbers, counts = numbers[:known], counts[:known]
+        first = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]])
+        return numbers[first], np.add.reduceat(counts, first)
+
+
 def lower_share(hits: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Wilson lower bound of hits / n."""
     p = hits / n
@@ -78,43 +114,50 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) if len(sizes) else np.empty(0, np.int64)
 
 
+def _summed(at: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+    # of no rows bincount makes whole numbers
+    return np.bincount(at, weights, minlength=n).astype(np.float64, copy=False)
+
+
 @dataclass
 class Index:
-    """Examples, their labels, and postings by term and block."""
+    """Examples, their labels, and postings by term and block.
+
+    Terms that over 1 / ``DENSE`` of the examples have keep one row of weights per block, the others
+    a segment of postings for each block they occur in."""
 
     terms: dict[str, int] = field(default_factory=dict)
     idf: np.ndarray = field(default_factory=lambda: np.empty(0))
     n: np.ndarray = field(default_factory=lambda: np.empty(0))
     n_toxic: np.ndarray = field(default_factory=lambda: np.empty(0))
+    weighing: np.ndarray = field(default_factory=lambda: np.empty(0))
     ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     keys: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     labels: np.ndarray = field(default_factory=lambda: np.empty(0))
     base_rate: float = 0.0
+    clean_weight: float = 1.0
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k != "known"}
 
     def relevance(self, numbers: np.ndarray, left_out: int | None) -> np.ndarray:
         """Of terms, by the examples that have them; ``left_out`` is the label of one that has no say."""
-        n, toxic = self.n[numbers], self.n_toxic[numbers]
+        toxic = self.n_toxic[numbers].astype(np.float64)
+        clean = self.n[numbers] - toxic
         if left_out is not None:
-            n, toxic = n - 1, toxic - left_out
-        share = np.where(n > 0, lower_share(toxic, np.maximum(n, 1)), 0.0)
+            toxic, clean = toxic - left_out, clean - (1 - left_out)
+        n = toxic + self.clean_weight * clean
+        share = np.where(n > 0, lower_share(toxic, np.where(n > 0, n, 1.0)), 0.0)
         return FLOOR + (1 - FLOOR) * np.maximum(0, share - self.base_rate) / max(1 - self.base_rate, 1e-9)
 
     def vector(self, text: str | None, left_out: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
         """(term numbers, weights of unit length), or None where no term is known."""
-        counts: dict[int, int] = {}
-        known = self.terms.get
-        for w, n in Counter(words_of(text)).items():
-            if (k := known(w)) is not None:
-                counts[k] = counts.get(k, 0) + n
-            if len(w) > PREFIX and (k := known(w[:PREFIX] + "*")) is not None:
-                counts[k] = counts.get(k, 0) + n
-        if not counts:
+        if "known" not in vars(self):
+            self.known = _Known(self.terms)
+        numbers, counts = self.known.counted(text)
+        if not len(numbers):
             return None
-        numbers = np.fromiter(counts, np.int64, len(counts))
-        tf = np.fromiter(counts.values(), np.float64, len(counts))
-        order = np.argsort(numbers)
-        numbers = numbers[order]
-        weights = (1 + np.log(tf[order])) * self.idf[numbers] * (self.weighing[numbers] if left_out is None else self.relevance(numbers, left_out))
+        weights = (1 + np.log(counts)) * self.idf[numbers] * (self.weighing[numbers] if left_out is None else self.relevance(numbers, left_out))
         return numbers, weights / np.sqrt(weights @ weights)
 
     def fill(self, ids: np.ndarray, keys: np.ndarray, labels: np.ndarray, starts: np.ndarray, numbers: np.ndarray, weights: np.ndarray) -> None:
@@ -127,68 +170,90 @@ class Index:
         self._post(np.repeat(place, np.diff(starts)), numbers, weights, len(ids))
 
     def _post(self, examples: np.ndarray, numbers: np.ndarray, weights: np.ndarray, n: int) -> None:
+        self.size, self.n_blocks = n, -(-n // BLOCK)
         order = np.lexsort((examples, numbers))
-        examples, numbers = examples[order], numbers[order]
-        self.post_example, self.post_weight = examples.astype(np.int32), weights[order]
+        examples, numbers, weights = examples[order], numbers[order], weights[order].astype(np.float32)
+        common = np.flatnonzero(np.bincount(numbers, minlength=len(self.terms)) * DENSE > n)
+        self.row = np.full(len(self.terms), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        of = self.row[numbers]
+        self.dense = np.zeros((self.n_blocks, len(common), BLOCK), np.float32)
+        self.dense[examples[of >= 0] // BLOCK, of[of >= 0], examples[of >= 0] % BLOCK] = weights[of >= 0]
+        self.dense_max = np.ascontiguousarray(self.dense.max(axis=2, initial=0).T)
+        examples, numbers, self.post_weight = examples[of < 0], numbers[of < 0], weights[of < 0]
+        self.post_example = examples.astype(np.int32)
         blocks = examples // BLOCK
         first = np.flatnonzero(np.r_[True, (numbers[1:] != numbers[:-1]) | (blocks[1:] != blocks[:-1])]) if len(numbers) else np.empty(0, np.int64)
-        self.seg_start = np.r_[first, len(numbers)].astype(np.int64)
+        self.seg_start = np.r_[first, len(numbers)].astype(np.int32)
         self.seg_block = blocks[first].astype(np.int32)
-        self.seg_max = np.maximum.reduceat(self.post_weight, first) if len(first) else np.empty(0)
-        self.term_start = np.searchsorted(numbers[first], np.arange(len(self.terms) + 1))
-        self.size, self.n_blocks = n, -(-n // BLOCK)
+        self.seg_max = np.maximum.reduceat(self.post_weight, first) if len(first) else np.empty(0, np.float32)
+        self.term_start = np.searchsorted(numbers[first], np.arange(len(self.terms) + 1)).astype(np.int32)
 
     def _by_seeds(self, starts: np.ndarray, numbers: np.ndarray, weights: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Examples by their nearest seed; seeds are those of smallest key, a hash."""
         best, of = np.full(self.size, -1.0), np.zeros(self.size, np.int64)
+        everywhere = np.arange(self.n_blocks)
         for s, i in enumerate(np.argsort(keys, kind="stable")[:SEEDS]):
             part = slice(starts[i], starts[i + 1])
-            near = self._all_scores(numbers[part], weights[part])
+            near = self._scores(everywhere, *self._query(numbers[part], weights[part]))
             of, best = np.where(near > best, s, of), np.maximum(near, best)
         return np.lexsort((keys, -best, of))
 
-    def _all_scores(self, numbers: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        a, b = self.seg_start[self.term_start[numbers]], self.seg_start[self.term_start[numbers + 1]]
-        at = _ranges(a, b)
-        return np.bincount(self.post_example[at], self.post_weight[at] * np.repeat(weights, b - a), minlength=self.size)
+    def _query(self, numbers: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(rows and weights of common terms, segments and their terms' weights of the others)."""
+        rows = self.row[numbers]
+        rare = rows < 0
+        a, b = self.term_start[numbers[rare]], self.term_start[numbers[rare] + 1]
+        return rows[~rare], weights[~rare].astype(np.float32), _ranges(a, b), np.repeat(weights[rare], b - a)
+
+    def _scores(self, blocks: np.ndarray, rows: np.ndarray, row_weights: np.ndarray, segments: np.ndarray, of_term: np.ndarray) -> np.ndarray:
+        """Cosines of the examples of these blocks, 0 for all others."""
+        if len(blocks) < self.n_blocks:
+            chosen = np.zeros(self.n_blocks, np.bool_)
+            chosen[blocks] = True
+            inside = np.flatnonzero(chosen[self.seg_block[segments]])
+            segments, of_term = segments[inside], of_term[inside]
+        starts, ends = self.seg_start[segments], self.seg_start[segments + 1]
+        post = _ranges(starts, ends)
+        scores = _summed(self.post_example[post], self.post_weight[post] * np.repeat(of_term, ends - starts), self.n_blocks * BLOCK)
+        if len(rows):
+            scores.reshape(-1, BLOCK)[blocks] += row_weights @ self.dense[blocks[:, None], rows]
+        return scores[: self.size]
 
     def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
         """Exact (cosine, example number) of the k nearest of positive cosine; ties to the smaller id."""
-        a, b = self.term_start[numbers], self.term_start[numbers + 1]
-        segments, of_term = _ranges(a, b), np.repeat(weights, b - a)
-        blocks = self.seg_block[segments]
-        bounds = np.bincount(blocks, self.seg_max[segments] * of_term, minlength=self.n_blocks)
+        rows, row_weights, segments, of_term = self._query(numbers, weights)
+        bounds = _summed(self.seg_block[segments], self.seg_max[segments] * of_term, self.n_blocks)
+        if len(rows):
+            bounds += row_weights @ self.dense_max[rows]
         order = np.argsort(-bounds)
         found_scores, found_at, worst = np.empty(0), np.empty(0, np.int64), 0.0
         # a few blocks of highest bound give a k-th best that most others can't reach
         for now in (order[:FIRST], order[FIRST:]):
-            now = now[(bounds[now] > 0) & (bounds[now] >= worst - 1e-12)]
+            now = now[(bounds[now] > 0) & (bounds[now] >= worst - _SLACK)]
             if not len(now):
                 break
-            chosen = np.zeros(self.n_blocks, np.bool_)
-            chosen[now] = True
-            inside = np.flatnonzero(chosen[blocks])
-            s = segments[inside]
-            starts, ends = self.seg_start[s], self.seg_start[s + 1]
-            post = _ranges(starts, ends)
-            scores = np.bincount(self.post_example[post], self.post_weight[post] * np.repeat(of_term[inside], ends - starts), minlength=self.size)
+            self.visited += len(now)
+            scores = self._scores(now, rows, row_weights, segments, of_term)
             if skip >= 0:
                 scores[skip] = 0
-            hit = np.flatnonzero(scores > max(0.0, worst - 1e-12))
+            hit = np.flatnonzero(scores > max(0.0, worst - _SLACK))
             found_scores, found_at = np.r_[found_scores, scores[hit]], np.r_[found_at, hit]
             if len(found_at) > k:
                 hit = np.flatnonzero(found_scores >= -np.partition(-found_scores, k - 1)[k - 1])
                 found_scores, found_at = found_scores[hit], found_at[hit]
-                top = np.lexsort((self.ids[found_at], -found_scores))[:k]
-            else:
-                top = np.lexsort((self.ids[found_at], -found_scores))
+            top = np.lexsort((self.ids[found_at], -found_scores))[:k]
             found_scores, found_at = found_scores[top], found_at[top]
             worst = found_scores[-1] if len(found_scores) == k else 0.0
         return [(min(1.0, float(s)), int(i)) for s, i in zip(found_scores, found_at, strict=True)]
 
+    #: Blocks scored so far, for tests and tuning.
+    visited = 0
+
     def vote(self, near: list[tuple[float, int]]) -> float:
-        weights = np.array([1 / (1 + NEAREST - s) for s, _ in near])
-        return float((weights @ self.labels[[i for _, i in near]] + self.base_rate) / (weights.sum() + 1))
+        labels = self.labels[[i for _, i in near]]
+        weights = np.array([1 / (1 + NEAREST - s) for s, _ in near]) * np.where(labels == 1, 1.0, self.clean_weight)
+        return float((weights @ labels + self.base_rate) / (weights.sum() + 1))
 
 
 @dataclass
@@ -198,6 +263,18 @@ class Model:
     index: Index
     steps: tuple[np.ndarray, np.ndarray] = (np.empty(0), np.empty(0))
     zero_score: float = 0.0
+    shared: object = None
+
+    def share(self, spark: SparkSession):
+        """The index as a broadcast, made once."""
+        if self.shared is None:
+            self.shared = spark.sparkContext.broadcast(self.index)
+        return self.shared
+
+    def on_executors(self, spark: SparkSession) -> Callable[[], Model]:
+        """What gives a worker this model; only the broadcast's name and the steps are shipped."""
+        shared, steps, zero = self.share(spark), self.steps, self.zero_score
+        return lambda: Model(shared.value, steps, zero)
 
     def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
         vector = self.index.vector(text)
@@ -209,18 +286,20 @@ class Model:
         return (float(values[max(0, np.searchsorted(edges, vote, side="right") - 1)]) if len(edges) else vote), near
 
 
-def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Steps (left edges, values) of a monotone fit whose pools are shrunk by half a vote each way.
 
     Neighbouring pools are joined as long as their shrunk values fall, so the values grow."""
+    weight = np.ones(len(x)) if weight is None else weight
     pools: list[list[float]] = []
     value = lambda p: (p[1] + 0.5) / (p[2] + 1)
-    for a, b in zip(x[order := np.argsort(x, kind="stable")], y[order], strict=True):
+    order = np.argsort(x, kind="stable")
+    for a, b, w in zip(x[order], y[order], weight[order], strict=True):
         if pools and pools[-1][0] == a:
-            pools[-1][1] += b
-            pools[-1][2] += 1
+            pools[-1][1] += b * w
+            pools[-1][2] += w
         else:
-            pools.append([a, b, 1])
+            pools.append([a, b * w, w])
         while len(pools) > 1 and value(pools[-2]) >= value(pools[-1]):
             last = pools.pop()
             pools[-1][1] += last[1]
@@ -232,14 +311,18 @@ def is_held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def _examples(docs: DataFrame, labels: DataFrame, max_examples: int, id_col: str, text_col: str) -> DataFrame:
-    """(key, id, toxic, text) of the sample, one row of each distinct text; key is a hash of the text."""
-    usable = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~is_held_out(F.col(id_col)))
-    chosen = usable.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("id"), "id", "toxic").limit(max_examples)
-    chosen = cut(chosen, "chosen")  # bounded by max_examples
+def _examples(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, float]:
+    """((key, id, toxic, text) of the sample, one row of each distinct text, weight of a clean one);
+    key is a hash of the text."""
+    known = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~is_held_out(F.col(id_col)))
+    usable = known.select(F.col(id_col).alias("id"), (F.col("toxic") == 1).cast("int").alias("toxic"))
+    n = {r["toxic"]: r["n"] for r in usable.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    of = lambda label, most: usable.where(F.col("toxic") == label).orderBy(F.xxhash64("id"), "id").limit(most)
+    chosen = cut(of(1, MAX_TOXIC).unionByName(of(0, MAX_CLEAN)), "chosen")  # bounded
     mine = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
-    one_each = mine.groupBy("text").agg(F.min("id").cast("long").alias("id"), (F.max("toxic") == 1).cast("int").alias("toxic"))
-    return cut(one_each.select(F.xxhash64("text").alias("key"), "id", "toxic", "text"), "examples")
+    one_each = mine.groupBy("text").agg(F.min("id").cast("long").alias("id"), F.max("toxic").alias("toxic"))
+    scale = [max(1.0, n.get(label, 0) / most) for label, most in ((0, MAX_CLEAN), (1, MAX_TOXIC))]
+    return cut(one_each.select(F.xxhash64("text").alias("key"), "id", "toxic", "text"), "examples"), scale[0] / scale[1]
 
 
 def _vocabulary(examples: DataFrame) -> pa.Table:
@@ -259,92 +342,92 @@ def _vocabulary(examples: DataFrame) -> pa.Table:
     return counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")).orderBy("term").toArrow()
 
 
-def _document_frequencies(docs: DataFrame, terms: dict[str, int], text_col: str) -> tuple[int, np.ndarray]:
-    """Number of documents, and of those that hold each term."""
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
-    n = len(terms)
+def _document_frequencies(docs: DataFrame, shared, n: int, text_col: str) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those that hold each term of the broadcast vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts, seen = shared.value.get, np.zeros(n + 1, np.int64), 0
+        known, counts, seen = _Known(shared.value), np.zeros(n + 1, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
-                words = set(words_of(text.as_py()))
-                here = {known(w) for w in words}
-                here |= {known(b + "*") for b in {w[:PREFIX] for w in words if len(w) > PREFIX}}
-                here.discard(None)
+                here = set(chain.from_iterable(map(known.__getitem__, set(words_of(text.as_py())))))
                 counts[np.fromiter(here, np.int64, len(here))] += 1
                 seen += 1
-        counts[n] = seen
+        counts[n] = seen  # where words without a term were counted
         hit = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(counts[hit])], names=["k", "n"])
 
     found = docs.select(text_col).mapInArrow(run, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(n + 1, np.int64)
     counts[found["k"].to_numpy()] = found["n"].to_numpy()
-    shared.destroy()
     return int(counts[n]), counts[:n]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on labelled rows outside the held-out fold."""
     spark = docs.sparkSession
-    examples = _examples(docs, labels, max_examples, id_col, text_col)
+    examples, clean_weight = _examples(docs, labels, id_col, text_col)
     totals = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n, n_toxic = sum(totals.values()), totals.get(1, 0)
     if not n:
         return Model(Index())
     words = _vocabulary(examples)
-    index = Index(terms={t: i for i, t in enumerate(words["term"].to_pylist())}, base_rate=n_toxic / n)
-    n_docs, df = _document_frequencies(docs, index.terms, text_col)
-    index.n, index.n_toxic = words["n"].to_numpy(), words["n_toxic"].to_numpy()
+    index = Index(terms={t: i for i, t in enumerate(words["term"].to_pylist())}, base_rate=n_toxic / (n_toxic + clean_weight * (n - n_toxic)), clean_weight=clean_weight)
+    vocabulary = spark.sparkContext.broadcast(index.terms)
+    n_docs, df = _document_frequencies(docs, vocabulary, len(index.terms), text_col)
+    index.n, index.n_toxic = words["n"].to_numpy().astype(np.int32), words["n_toxic"].to_numpy().astype(np.int32)
     index.idf = np.log((1 + n_docs) / (1 + df)) + 1
     index.weighing = index.relevance(np.arange(len(index.terms)), None)
+    weights = (index.idf * index.weighing).astype(np.float32)
 
-    light = spark.sparkContext.broadcast(index)
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.float64())]
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Known(vocabulary.value)
         for batch in batches:
-            rows = [(k, i, y, *v) for k, i, y, text in zip(*(c.to_pylist() for c in batch.columns), strict=True) if (v := light.value.vector(text))]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["key", "id", "toxic", "numbers", "weights"])
+            rows = [(k, i, y, *v) for k, i, y, text in zip(*(c.to_pylist() for c in batch.columns), strict=True) if len((v := known.counted(text))[0])]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["key", "id", "toxic", "numbers", "counts"])
 
-    found = examples.mapInArrow(vectors, "key bigint, id bigint, toxic int, numbers array<bigint>, weights array<double>").orderBy("id", "key").toArrow().combine_chunks()
-    light.destroy()
+    found = examples.mapInArrow(counted, "key bigint, id bigint, toxic int, numbers array<int>, counts array<int>").toArrow().combine_chunks()
+    vocabulary.destroy()
+    found = found.take(np.lexsort((found["key"].to_numpy(), found["id"].to_numpy()))).combine_chunks()
     seen = int(found["toxic"].to_numpy().sum())
-    model = Model(index, zero_score=(n_toxic - seen + index.base_rate) / (n - len(found) + 1))
+    zeros = n_toxic - seen, clean_weight * (n - len(found) - n_toxic + seen)
+    model = Model(index, zero_score=(zeros[0] + index.base_rate) / (zeros[0] + zeros[1] + 1))
     if not len(found):
         return model
-    sizes = found["numbers"].combine_chunks().value_lengths().to_numpy()
-    flat = [found[c].combine_chunks().flatten().to_numpy() for c in ("numbers", "weights")]
-    index.fill(found["id"].to_numpy(), found["key"].to_numpy(), found["toxic"].to_numpy().astype(float), np.r_[0, np.cumsum(sizes)], *flat)
-
-    full = spark.sparkContext.broadcast(index)
+    starts = np.r_[0, np.cumsum(found["numbers"].combine_chunks().value_lengths().to_numpy())]
+    numbers, counts = (found[c].combine_chunks().flatten().to_numpy() for c in ("numbers", "counts"))
+    values = (1 + np.log(counts)) * weights[numbers]
+    values /= np.repeat(np.sqrt(np.add.reduceat(values * values, starts[:-1])), np.diff(starts))
+    index.fill(found["id"].to_numpy(), found["key"].to_numpy(), found["toxic"].to_numpy().astype(float), starts, numbers, values)
+    del found, numbers, counts, values
+    shared = model.share(spark)
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = {int(k): i for i, k in enumerate(full.value.keys)}
+        whole = shared.value
+        place = {int(k): i for i, k in enumerate(whole.keys)}
         for batch in batches:
             rows = []
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                label = full.value.labels[place[key]] if key in place else None
-                if label is not None and (vector := full.value.vector(text, left_out=int(label))):
-                    near = full.value.nearest(*vector, NEIGHBOURS, skip=place[key])
-                    rows.append((full.value.vote(near) if near else full.value.base_rate, label))
+                label = whole.labels[place[key]] if key in place else None
+                if label is not None and (vector := whole.vector(text, left_out=int(label))):
+                    near = whole.nearest(*vector, NEIGHBOURS, skip=place[key])
+                    rows.append((whole.vote(near) if near else whole.base_rate, label))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.float64()) for i in (0, 1)], names=["vote", "label"])
 
     # a few examples are much work: deal them to all cores
     votes = examples.select("key", "text").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key").mapInArrow(left_out, "vote double, label double").toArrow()
-    full.destroy()
-    model.steps = isotonic(votes["vote"].to_numpy(), votes["label"].to_numpy())
+    labels_left = votes["label"].to_numpy()
+    model.steps = isotonic(votes["vote"].to_numpy(), labels_left, np.where(labels_left == 1, 1.0, clean_weight))
     return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, score, predicted, evidence (nearest examples)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    given = model.on_executors(docs.sparkSession)
     evidence_type = pa.list_(pa.struct([("example", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = given()
         ids, labels = model.index.ids, model.index.labels
         for batch in batches:
             results = [model.score(t.as_py()) for t in batch.column(2)]
@@ -361,11 +444,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def remove_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without the rows predicted toxic; all columns stay."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    given = model.on_executors(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = given()
         for batch in batches:
             yield batch.filter(pa.array([model.score(t.as_py())[0] < 0.5 for t in batch.column(at)], pa.bool_()))
 

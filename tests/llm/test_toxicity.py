@@ -99,23 +99,18 @@ def test_nearest_equal_brute_force_over_the_whole_vocabulary(fitted):
         cosines = ((sum(w * v.get(k, 0) for k, w in q.items()), texts.index(t)) for t, v in known.items())
         scores = sorted((-s, i) for s, i in cosines if s > 0)[: tox.NEIGHBOURS]
         got = model.index.nearest(*model.index.vector(text), tox.NEIGHBOURS)
-        assert np.allclose([-s for s, _ in scores], [s for s, _ in got])
-        clear = [i for (s, i), (t, _) in zip(scores, scores[1:], strict=False) if abs(s - t) > 1e-9]
+        assert np.allclose([-s for s, _ in scores], [s for s, _ in got], atol=1e-6)
+        clear = [i for (s, i), (t, _) in zip(scores, scores[1:], strict=False) if abs(s - t) > 1e-5]
         assert {i for i in clear} <= {int(model.index.ids[i]) for _, i in got}
 
 
 def test_blocks_that_cannot_reach_the_best_are_left_out(fitted, monkeypatch):
-    model, seen = fitted[3], []
-    ranges = tox._ranges
-    monkeypatch.setattr(tox, "_ranges", lambda a, b: seen.append(int((b - a).sum())) or ranges(a, b))
-    shares = []
-    for text in corpus_texts[0][:100]:
-        numbers, weights = model.index.vector(text)
-        whole = int((model.index.seg_start[model.index.term_start[numbers + 1]] - model.index.seg_start[model.index.term_start[numbers]]).sum())
-        seen.clear()
-        model.index.nearest(numbers, weights, tox.NEIGHBOURS)
-        shares.append(sum(seen[1:]) / whole)
-    assert np.mean(shares) < 0.95 and max(shares) <= 1
+    index, texts = fitted[3].index, corpus_texts[0][:100]
+    monkeypatch.setattr(tox, "FIRST", 1)
+    index.visited = 0
+    for text in texts:
+        index.nearest(*index.vector(text), 1)
+    assert index.visited < 0.8 * len(texts) * index.n_blocks
 
 
 def test_an_equal_text_outvotes_its_neighbours(spark, docs_of):
