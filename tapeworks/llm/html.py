@@ -64,6 +64,7 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em f
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSES_P = frozenset("address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",), "option": ("select",)}
+_PEERS = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
 _ASIDE_TAGS = frozenset("head nav footer aside form button select dialog menu".split())
 #: Words that name the role of a part that is no main text, and words that say nothing of a role.
 _ROLES = frozenset("ad ads advert advertisement banner sidebar comment comments cookie cookies consent notice promo sponsor sponsored share sharing social related breadcrumb breadcrumbs menu nav navigation footer masthead newsletter pagination complementary contentinfo".split())
@@ -404,8 +405,8 @@ def walk(html: str) -> Iterator[tuple[str, str, str, bool]]:
         else:
             if name in _CLOSES_P and names and names[-1] == "p":
                 yield from leave(len(names) - 1)
-            elif name in _ITSELF and count.get(name):
-                at = last(name)
+            elif name in _ITSELF and any(count.get(x) for x in _PEERS.get(name, (name,))):
+                at = max(last(x) for x in _PEERS.get(name, (name,)) if count.get(x))
                 if not any(x in _ITSELF[name] for x in names[at:]):
                     yield from leave(at)
             elif name == "body" and names and names[-1] == "head":
