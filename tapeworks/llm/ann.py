@@ -6,17 +6,21 @@ documented bound; those with the smallest hash of their id). Encoding is a beam
 each codebook the ``BEAM`` best partial sums are kept. Every row is encoded and stored with its
 codes and the norm of its approximation.
 
-Searching takes the query set in blocks of at most ``QUERY_BLOCK``, each against all rows: one
-lookup table per query scores codes by additions, the stored norm turns the sum to a cosine,
-and each task re-scores its ``RERANK`` best candidates per query exactly, in double precision.
+Searching takes the query set, which is written once, in blocks of ``QUERY_BLOCK``, each against
+all rows: one lookup table per query scores codes by additions, and the stored norm turns the sum to
+a cosine. A task keeps the ``RERANK`` best candidates of each query by this score over all its
+rows, however they come in batches, and re-scores these once, exactly and in double precision; the k best
+of all tasks are the result. So a task of n rows computes RERANK / n of the exact cosines
+(``exact_share`` counts them).
 
 A result holds at most k copies of one vector, those with the smallest ids, so only the
-k + 1 smallest ids of equal vectors are candidates (the one more stands in for the query's
+k + 1 smallest different ids of equal vectors are candidates (the one more stands in for the query's
 own row); no result is lost. Recall against brute force is held at 0.9 or more by the tests.
 
-Defined results: vectors that are null, zero, of another length than most, or hold null or
-non-finite components take no part; a row is never its own neighbour, and neither is another
-row of the same id; an empty table gives an empty result; other columns are ignored.
+Defined results: rows whose id is null, and vectors that are null, zero, of another length than
+most, or hold null or non-finite components take no part; repeated rows are one; a row is never its
+own neighbour, and neither is another row of the same id; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +29,8 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark.accumulators import Accumulator
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +42,10 @@ BEAM = 4
 TRAIN = 8192
 ROUNDS = 8
 RERANK = 256
-QUERY_BLOCK = 4096
+QUERY_BLOCK = 1024
 NEIGHBOURS = 5
+#: Rows whose vectors a task holds beyond need before it looks which ones no query wants.
+SPARE = 65_536
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
@@ -95,9 +101,14 @@ def usable(vector: Column) -> Column:
     return F.coalesce(~bad & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
+def _clean(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    taking_part = usable(F.col(vector_col)) & F.col(id_col).isNotNull()
+    return vectors.where(taking_part).select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
+
+
 def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = NEIGHBOURS) -> tuple[DataFrame, np.ndarray, int]:
     """(index, codebooks, d); index: vec_id, embedding, codes, norm, copy (rank among equal vectors)."""
-    rows = vectors.where(usable(F.col(vector_col))).select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
+    rows = _clean(vectors, id_col, vector_col).distinct()
     widths = rows.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     d = widths["d"] if widths else 0
     rows = rows.where(F.size("embedding") == d)
@@ -120,19 +131,20 @@ def build_index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "e
     return cut(ranked.where(F.col("copy") <= k + 1), "ann-index"), books, d
 
 
-def search(index: DataFrame, queries: DataFrame, books: np.ndarray, d: int, k: int = NEIGHBOURS, rerank: int = RERANK) -> DataFrame:
-    """The k nearest rows of ``index`` for each row of ``queries(vec_id, embedding)``."""
+def search(index: DataFrame, queries: DataFrame, books: np.ndarray, d: int, k: int = NEIGHBOURS, rerank: int = RERANK, exact_share: Accumulator | None = None) -> DataFrame:
+    """The k nearest rows of ``index`` for each row of ``queries(vec_id, embedding)``. ``exact_share``
+    gets the number of exact cosines computed."""
     spark = index.sparkSession
-    n = queries.count()
-    blocks = max(1, -(-n // QUERY_BLOCK))
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    written = cut(queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))), "ann-queries", partition="block" if blocks > 1 else None)
     parts = []
     for b in range(blocks):
-        block = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toPandas()  # about QUERY_BLOCK rows
+        block = written.where(F.col("block") == b).select("vec_id", "embedding").toPandas()  # about QUERY_BLOCK rows
         if not len(block):
             continue
         q = np.stack(block["embedding"].to_numpy()).astype(np.float64)
         shared = spark.sparkContext.broadcast((block["vec_id"].to_numpy(), q, np.sqrt((q**2).sum(1))))
-        parts.append(index.select("vec_id", "embedding", "codes", "norm").mapInArrow(_scan(shared, books, d, k, rerank), "query_id bigint, vec_id bigint, score double"))
+        parts.append(index.select("vec_id", "embedding", "codes", "norm").mapInArrow(_scan(shared, books, d, k, rerank, exact_share), "query_id bigint, vec_id bigint, score double"))
         if len(parts) >= 16:
             parts = [cut(_best(reduce(DataFrame.unionByName, parts), k), "ann-part")]
     empty = spark.createDataFrame([], "query_id bigint, vec_id bigint, score double")
@@ -145,42 +157,63 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return merged.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k).drop("r")
 
 
-def _scan(shared, books: np.ndarray, d: int, k: int, rerank: int):
+class _Candidates:
+    """The best rows of a task for each query by approximate score, and the vectors they need."""
+
+    def __init__(self, n_queries: int, keep: int, d: int) -> None:
+        self.keep = keep
+        self.guess = np.full((n_queries, 0), -np.inf, np.float32)
+        self.row = np.zeros((n_queries, 0), np.int64)
+        self.ids, self.x = np.empty(0, np.int64), np.empty((0, d))
+
+    def add(self, ids: np.ndarray, x: np.ndarray, guess: np.ndarray) -> None:
+        """Rows with their vectors; guess: (queries, rows)."""
+        rows = np.arange(len(self.ids), len(self.ids) + len(ids))
+        self.ids, self.x = np.r_[self.ids, ids], np.concatenate([self.x, x])
+        guess = np.concatenate([self.guess, guess], axis=1)
+        if guess.shape[1] > self.keep:
+            best = np.argpartition(-guess, self.keep - 1, axis=1)[:, : self.keep]
+            old = self.row.shape[1]
+            known = np.take_along_axis(self.row, np.minimum(best, max(old - 1, 0)), 1) if old else 0
+            self.row = np.where(best < old, known, rows[0] + best - old)
+            self.guess = np.take_along_axis(guess, best, 1)
+        else:
+            self.row, self.guess = np.concatenate([self.row, np.broadcast_to(rows, (len(guess), len(rows)))], axis=1), guess
+        # rows that are no query's candidate any more are let go
+        if len(self.ids) > 2 * max(len(ids), min(self.row.size, SPARE)):
+            used, place = np.unique(self.row, return_inverse=True)
+            self.ids, self.x, self.row = self.ids[used], self.x[used], place.reshape(self.row.shape)
+
+    def exact(self, at: int, query_id: int, q: np.ndarray, q_norm: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, cosines) of the k nearest different ids among a query's candidates."""
+        x, own = self.x[self.row[at]], self.ids[self.row[at]]
+        scores = (x * q).sum(1) / (np.sqrt((x**2).sum(1)) * q_norm)
+        order = np.lexsort((own, -scores))
+        order = order[own[order] != query_id]
+        _, first = np.unique(own[order], return_index=True)
+        order = order[np.sort(first)[:k]]
+        return own[order], scores[order]
+
+
+def _scan(shared, books: np.ndarray, d: int, k: int, rerank: int, exact_share: Accumulator | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, q, q_norms = shared.value
-        m, _, _ = books.shape
+        m = books.shape[0]
         tables = np.einsum("qd,mkd->mkq", q / q_norms[:, None], books, optimize=True).astype(np.float32)
-        best = [(np.empty((len(ids), 0)), np.empty((len(ids), 0), np.int64))]
-
-        def flush() -> None:
-            scores, own = np.concatenate([s for s, _ in best], 1), np.concatenate([i for _, i in best], 1)
-            order = np.lexsort((own, -scores), axis=1)[:, :k]
-            best[:] = [(np.take_along_axis(scores, order, 1), np.take_along_axis(own, order, 1))]
-
+        best = _Candidates(len(ids), rerank, d)
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                own = part.column(0).to_numpy(zero_copy_only=False)
-                order = np.argsort(own, kind="stable")  # equal scores then come by id
-                own, x = own[order], _matrix(part.column(1), d)[order]
-                codes = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(-1, m)[order]
-                norms, x_norms = part.column(3).to_numpy(zero_copy_only=False)[order], np.sqrt((x**2).sum(1))
-                for begin in range(0, len(ids), 256):
-                    these = slice(begin, min(begin + 256, len(ids)))
-                    guess = sum(tables[i][codes[:, i], these] for i in range(m)).T / np.maximum(norms, 1e-12)
-                    take = np.argsort(-guess, axis=1, kind="stable")[:, :rerank] if rerank < len(own) else np.broadcast_to(np.arange(len(own)), guess.shape)
-                    exact = (x[take] * q[these][:, None, :]).sum(2) / (x_norms[take] * q_norms[these][:, None])
-                    exact[own[take] == ids[these][:, None]] = -np.inf
-                    top = np.lexsort((own[take], -exact), axis=1)[:, :k]
-                    found = (np.take_along_axis(exact, top, 1), np.take_along_axis(own[take], top, 1))
-                    if begin == 0:
-                        fresh = []
-                    fresh.append(found)
-                best.append((np.concatenate([f[0] for f in fresh]), np.concatenate([f[1] for f in fresh])))
-                flush()
-        scores, own = best[0]
-        keep = np.isfinite(scores)
-        yield pa.RecordBatch.from_pandas(pd.DataFrame({"query_id": np.broadcast_to(ids[:, None], scores.shape)[keep], "vec_id": own[keep], "score": scores[keep]}), preserve_index=False)
+                codes = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(-1, m)
+                norms = part.column(3).to_numpy(zero_copy_only=False)
+                guess = sum(tables[i][codes[:, i]] for i in range(m)) / np.maximum(norms, 1e-12).astype(np.float32)[:, None]
+                best.add(part.column(0).to_numpy(zero_copy_only=False), _matrix(part.column(1), d), guess.T)
+        if exact_share is not None:
+            exact_share.add(best.row.size)
+        found = [best.exact(i, ids[i], q[i], q_norms[i], k) for i in range(len(ids))] if best.row.size else []
+        if found:
+            columns = [np.repeat(ids, [len(own) for own, _ in found]), np.concatenate([own for own, _ in found]), np.concatenate([scores for _, scores in found])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
     return run
 
@@ -190,7 +223,7 @@ def nearest(vectors: DataFrame, queries: DataFrame | None = None, k: int = NEIGH
     index, books, d = build_index(vectors, id_col, vector_col, k)
     if queries is None:
         queries = vectors.where(F.col(id_col) % every == 0)
-    asked = queries.where(usable(F.col(vector_col)) & (F.size(vector_col) == d)).select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
+    asked = _clean(queries, id_col, vector_col).where(F.size("embedding") == d)
     return search(index, asked, books, d, k)
 
 

@@ -37,22 +37,24 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, local mode) is a local one used.
+    Only in local mode, where all share one disk, may it be unset.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = f"file://{tempfile.gettempdir()}/checkpoints"
     return named.rstrip("/")
 
 
-def cut(df: DataFrame, tag: str = "cut") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def cut(df: DataFrame, tag: str = "cut", partition: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back; ``partition`` is a column to make folders of.
 
     The lineage ends there: a lost executor costs only a re-read.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(partition) if partition else df.write).parquet(path)
     _delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
