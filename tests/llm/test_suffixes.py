@@ -43,9 +43,11 @@ def corpus():
     return texts + [texts[3], "q" * 350, "xy" * 200 + noise(10) + "xy" * 90, *ODD, noise(99), noise(100)]
 
 
-@pytest.mark.parametrize("batch", [S._BATCH_ROWS, 5])
-def test_equals_brute_force(docs_of, monkeypatch, batch):
+@pytest.mark.parametrize(("batch", "hot"), [(S._BATCH_ROWS, S.HOT), (5, S.HOT), (5, 3), (S._BATCH_ROWS, 1)])
+def test_equals_brute_force(docs_of, monkeypatch, batch, hot):
+    """Hot anchors and hot windows are resolved by other means, to the same bytes."""
     monkeypatch.setattr(S, "_BATCH_ROWS", batch)
+    monkeypatch.setattr(S, "HOT", hot)
     texts = corpus()
     rows = sorted(S.dedup_substrings(docs_of(texts).repartition(7)).collect(), key=lambda r: r.doc_id)
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows] == brute(texts)
@@ -75,6 +77,26 @@ def test_sorting(monkeypatch):
     assert list(trie) == sorted(set(texts))
 
 
+def test_quicksort_leaves_ties_of_the_shallow_depth():
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 4, (500, 2)).astype(np.uint64) << np.uint64(60)
+    group = np.sort(rng.integers(0, 5, 500))
+    order, starts, ends = S.multikey_quicksort(group, words)
+    rows = [(group[i], *words[i].tolist()) for i in order]
+    assert rows == sorted(rows) and sorted(order.tolist()) == list(range(500))
+    assert all(len(set(rows[s:e])) == 1 and e - s > 1 for s, e in zip(starts, ends, strict=True))
+    assert sum(ends - starts) == sum(rows.count(r) > 1 for r in rows)
+    assert [len(x) for x in S.multikey_quicksort(group[:0], words[:0])] == [0, 0, 0]
+
+
+def test_a_batch_border_inside_an_anchor():
+    """Contexts of one anchor in many small batches."""
+    rows = [(0, 7, c, 0, d, S._pack(np.int64(100), np.int64(68), np.int64(68))) for c in (1, 1, 2, 3, 3, 3, 4) for d in (1,)] + [(0, 8, 1, 0, 1, 5)]
+    whole = [r for b in S._compare(iter([S._rows(0, *(np.array([r[i] for r in rows]) for i in range(1, 6)))])) for r in b.to_pylist() if r["kind"] == 2]
+    parts = [r for b in S._compare(S._rows(0, *(np.array([r[i]]) for i in range(1, 6))) for r in rows) for r in b.to_pylist() if r["kind"] == 2]
+    assert whole == parts and [r["context"] for r in whole] == [1, 2, 3, 4]
+
+
 def test_chunks_have_the_same_anchors(monkeypatch):
     data = np.frombuffer(noise(3000).encode(), np.uint8)
     whole = set(zip(*map(tuple, S.anchors(data)), strict=True))
