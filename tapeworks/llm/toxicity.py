@@ -9,9 +9,10 @@ relevance, between ``FLOOR`` and 1, grows with the lower confidence bound of the
 among those that have the term. Vectors have length one in the space of these terms. Clean examples
 are indexed and vote like toxic ones.
 
-The inverted index keeps, for each term and each block of ``BLOCK`` examples, the largest
-weight. A query adds these up to a bound per block, scores the postings of the blocks of highest
-bound, and then those of the blocks whose bound can reach the k-th best cosine: the k nearest are exact. Examples are ordered by the nearest of a few seeds among them, so that
+The inverted index is cut into blocks of ``BLOCK`` examples. Of common terms, whose lists are long, each
+block's largest weight is kept. A query adds up its rare terms' short lists, and bounds each block by its
+largest such sum and the common terms' largest weights. It scores the blocks of highest bound in full,
+and then those whose bound can reach the k-th best cosine: the k nearest are exact. Examples are ordered by the nearest of a few seeds among them, so that
 a block's examples are alike and its bound tight. Votes are weighted by inverse distance and calibrated
 by isotonic regression on the examples' leave-one-out votes, computed on the executors. The
 nearest are returned as evidence.
@@ -30,7 +31,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +53,6 @@ FLOOR = 0.1
 NEAREST = 0.02
 #: Terms that one example in so many has are kept dense.
 DENSE = 16
-#: Words a worker remembers the terms of.
-REMEMBERED = 300_000
 #: Stored weights are of single precision.
 _SLACK = 1e-6
 _Z = 1.96
@@ -74,25 +73,31 @@ def terms_of(text: str | None) -> Counter[str]:
     return found
 
 
-class _Known(dict):
-    """Word -> numbers of its two terms (that of no term: len(terms)), remembered for common words."""
+class _Known:
+    """Numbers of the terms of a vocabulary; that of an unknown one is their number."""
 
     def __init__(self, terms: dict[str, int]) -> None:
-        self.terms, self.none = terms, len(terms)
+        self.none = len(terms)
+        self.whole = {t: k for t, k in terms.items() if t[-1] != "*"}.get
+        self.begin = {t[:-1]: k for t, k in terms.items() if t[-1] == "*"}.get
 
-    def __missing__(self, word: str) -> tuple[int, int]:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self.terms.get(word, self.none), self.terms.get(word[:PREFIX] + "*", self.none) if len(word) > PREFIX else self.none
-        self[word] = found
-        return found
+    def _numbers(self, words) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of words, and of their beginnings (unknown for short words)."""
+        n = len(words)
+        whole = np.fromiter(map(self.whole, words, repeat(self.none)), np.int64, n)
+        begin = np.fromiter(map(self.begin, [w[:PREFIX] if len(w) > PREFIX else "" for w in words], repeat(self.none)), np.int64, n)
+        return whole, begin
+
+    def present(self, text: str | None) -> np.ndarray:
+        """Numbers of the text's terms, the unknown one among them."""
+        return np.unique(np.concatenate(self._numbers(set(words_of(text)))))
 
     def counted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the text's known terms, ascending, their counts)."""
         words = Counter(words_of(text))
-        numbers = np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.int64, 2 * len(words))
-        counts = np.repeat(np.fromiter(words.values(), np.int64, len(words)), 2)
-        order = np.argsort(numbers, kind="stable")
+        numbers = np.concatenate(self._numbers(words))
+        counts = np.tile(np.fromiter(words.values(), np.int64, len(words)), 2)
+        order = np.argsort(numbers)
         numbers, counts = numbers[order], counts[order]
         known = int(np.searchsorted(numbers, self.none))
         if not known:
@@ -114,17 +119,12 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) + np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) if len(sizes) else np.empty(0, np.int64)
 
 
-def _summed(at: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
-    # of no rows bincount makes whole numbers
-    return np.bincount(at, weights, minlength=n).astype(np.float64, copy=False)
-
-
 @dataclass
 class Index:
     """Examples, their labels, and postings by term and block.
 
-    Terms that over 1 / ``DENSE`` of the examples have keep one row of weights per block, the others
-    a segment of postings for each block they occur in."""
+    Terms that over 1 / ``DENSE`` of the examples have are most of all postings: they keep a row
+    of weights, and its maximum, for each block. The others have short lists of postings."""
 
     terms: dict[str, int] = field(default_factory=dict)
     idf: np.ndarray = field(default_factory=lambda: np.empty(0))
@@ -180,52 +180,37 @@ class Index:
         self.dense = np.zeros((self.n_blocks, len(common), BLOCK), np.float32)
         self.dense[examples[of >= 0] // BLOCK, of[of >= 0], examples[of >= 0] % BLOCK] = weights[of >= 0]
         self.dense_max = np.ascontiguousarray(self.dense.max(axis=2, initial=0).T)
-        examples, numbers, self.post_weight = examples[of < 0], numbers[of < 0], weights[of < 0]
-        self.post_example = examples.astype(np.int32)
-        blocks = examples // BLOCK
-        first = np.flatnonzero(np.r_[True, (numbers[1:] != numbers[:-1]) | (blocks[1:] != blocks[:-1])]) if len(numbers) else np.empty(0, np.int64)
-        self.seg_start = np.r_[first, len(numbers)].astype(np.int32)
-        self.seg_block = blocks[first].astype(np.int32)
-        self.seg_max = np.maximum.reduceat(self.post_weight, first) if len(first) else np.empty(0, np.float32)
-        self.term_start = np.searchsorted(numbers[first], np.arange(len(self.terms) + 1)).astype(np.int32)
+        self.post_example, self.post_weight = examples[of < 0].astype(np.int32), weights[of < 0]
+        self.term_start = np.searchsorted(numbers[of < 0], np.arange(len(self.terms) + 1)).astype(np.int32)
 
     def _by_seeds(self, starts: np.ndarray, numbers: np.ndarray, weights: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Examples by their nearest seed; seeds are those of smallest key, a hash."""
         best, of = np.full(self.size, -1.0), np.zeros(self.size, np.int64)
-        everywhere = np.arange(self.n_blocks)
         for s, i in enumerate(np.argsort(keys, kind="stable")[:SEEDS]):
             part = slice(starts[i], starts[i + 1])
-            near = self._scores(everywhere, *self._query(numbers[part], weights[part]))
+            near = self.scores(numbers[part], weights[part])
             of, best = np.where(near > best, s, of), np.maximum(near, best)
         return np.lexsort((keys, -best, of))
 
-    def _query(self, numbers: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(rows and weights of common terms, segments and their terms' weights of the others)."""
+    def _rare(self, numbers: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(what rare terms add to each example's cosine by block, rows and weights of common terms)."""
         rows = self.row[numbers]
         rare = rows < 0
         a, b = self.term_start[numbers[rare]], self.term_start[numbers[rare] + 1]
-        return rows[~rare], weights[~rare].astype(np.float32), _ranges(a, b), np.repeat(weights[rare], b - a)
-
-    def _scores(self, blocks: np.ndarray, rows: np.ndarray, row_weights: np.ndarray, segments: np.ndarray, of_term: np.ndarray) -> np.ndarray:
-        """Cosines of the examples of these blocks, 0 for all others."""
-        if len(blocks) < self.n_blocks:
-            chosen = np.zeros(self.n_blocks, np.bool_)
-            chosen[blocks] = True
-            inside = np.flatnonzero(chosen[self.seg_block[segments]])
-            segments, of_term = segments[inside], of_term[inside]
-        starts, ends = self.seg_start[segments], self.seg_start[segments + 1]
-        post = _ranges(starts, ends)
-        scores = _summed(self.post_example[post], self.post_weight[post] * np.repeat(of_term, ends - starts), self.n_blocks * BLOCK)
-        if len(rows):
-            scores.reshape(-1, BLOCK)[blocks] += row_weights @ self.dense[blocks[:, None], rows]
-        return scores[: self.size]
+        post = _ranges(a, b)
+        scores = np.bincount(self.post_example[post], self.post_weight[post] * np.repeat(weights[rare], b - a), minlength=self.n_blocks * BLOCK)
+        # of no rows bincount makes whole numbers
+        return scores.astype(np.float64, copy=False).reshape(-1, BLOCK), rows[~rare], weights[~rare].astype(np.float32)
+
+    def scores(self, numbers: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Cosines of all examples."""
+        scores, rows, of_row = self._rare(numbers, weights)
+        return (scores + of_row @ self.dense[:, rows]).reshape(-1)[: self.size]
 
     def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
         """Exact (cosine, example number) of the k nearest of positive cosine; ties to the smaller id."""
-        rows, row_weights, segments, of_term = self._query(numbers, weights)
-        bounds = _summed(self.seg_block[segments], self.seg_max[segments] * of_term, self.n_blocks)
-        if len(rows):
-            bounds += row_weights @ self.dense_max[rows]
+        scores, rows, of_row = self._rare(numbers, weights)
+        bounds = scores.max(axis=1) + (of_row @ self.dense_max[rows] if len(rows) else 0)
         order = np.argsort(-bounds)
         found_scores, found_at, worst = np.empty(0), np.empty(0, np.int64), 0.0
         # a few blocks of highest bound give a k-th best that most others can't reach
@@ -234,11 +219,12 @@ class Index:
             if not len(now):
                 break
             self.visited += len(now)
-            scores = self._scores(now, rows, row_weights, segments, of_term)
+            here = scores[now] + of_row @ self.dense[now[:, None], rows] if len(rows) else scores[now]
+            block, at = np.nonzero(here > max(0.0, worst - _SLACK))
+            examples, cosines = now[block] * BLOCK + at, here[block, at]
             if skip >= 0:
-                scores[skip] = 0
-            hit = np.flatnonzero(scores > max(0.0, worst - _SLACK))
-            found_scores, found_at = np.r_[found_scores, scores[hit]], np.r_[found_at, hit]
+                examples, cosines = examples[examples != skip], cosines[examples != skip]
+            found_scores, found_at = np.r_[found_scores, cosines], np.r_[found_at, examples]
             if len(found_at) > k:
                 hit = np.flatnonzero(found_scores >= -np.partition(-found_scores, k - 1)[k - 1])
                 found_scores, found_at = found_scores[hit], found_at[hit]
@@ -349,8 +335,7 @@ def _document_frequencies(docs: DataFrame, shared, n: int, text_col: str) -> tup
         known, counts, seen = _Known(shared.value), np.zeros(n + 1, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
-                here = set(chain.from_iterable(map(known.__getitem__, set(words_of(text.as_py())))))
-                counts[np.fromiter(here, np.int64, len(here))] += 1
+                counts[known.present(text.as_py())] += 1
                 seen += 1
         counts[n] = seen  # where words without a term were counted
         hit = np.flatnonzero(counts)
