@@ -6,8 +6,10 @@ fingerprint on both sides: none can be missed. Training fingerprints are joined
 the benchmark, and a hit is extended to its window, whose words must be equal. An item
 shorter than a window, but not empty, is one window of its own length.
 
-The benchmark's fingerprints are broadcast only up to ``BROADCAST_ROWS`` of them (counted
-first); beyond that the same join shuffles. Hits are few; nothing else leaves its scan.
+All window lengths go through one scan. The benchmark's fingerprints are broadcast only up to
+``BROADCAST_ROWS`` of them (counted first), and nothing but hits leaves the scan. Beyond that, windows
+are shuffled as numbers only (row, place, length, fingerprint), and the words of those that meet are
+fetched afterwards.
 
 Defined results: null and empty texts have no words and no hits; repeated rows get equal
 results (rows are told apart by doc_id and text); an empty benchmark or document table is
@@ -16,8 +18,6 @@ fine; item ids that are null count as hits but are in no item list; other column
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,12 +47,22 @@ def _least(parts: list[Column]) -> Column:
     return parts[0] if len(parts) == 1 else F.least(*parts)
 
 
-def windows(rows: DataFrame, keys: list[str], window: int, gram: int) -> DataFrame:
-    """(keys, words, at, n, fp) for every window of ``window`` words; rows have keys and words."""
-    hashed = rows.where(F.size("words") >= window).select(*keys, "words", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    placed = hashed.select(*keys, "words", "h", F.explode(F.sequence(F.lit(0), F.size("h") - F.lit(window))).alias("at"))
-    grams = [_gram(F.col("h"), F.col("at") + F.lit(t), gram) for t in range(window - gram + 1)]
-    return placed.select(*keys, "words", "at", F.lit(window).alias("n"), _least(grams).alias("fp"))
+def windows(rows: DataFrame, keys: list[str], window: int, gram: int, sizes: list[int]) -> DataFrame:
+    """(keys, words, at, n, fp) for every window of every length in ``sizes``; rows have keys and words.
+    Windows shorter than ``window`` are one gram each."""
+    hashed = rows.select(*keys, "words", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    none = F.array().cast("array<struct<at:int,n:int>>")
+
+    def starts(n: int) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.size("h") - F.lit(n)), lambda at: F.struct(at.alias("at"), F.lit(n).alias("n")))
+        return F.when(F.size("h") >= n, every).otherwise(none)
+
+    placed = hashed.select(*keys, "words", "h", F.explode(F.concat(*map(starts, sizes))).alias("p")).select(*keys, "words", "h", "p.at", "p.n")
+    fp = _least([_gram(F.col("h"), F.col("at") + F.lit(t), gram) for t in range(window - gram + 1)])
+    for n in sizes:
+        if n < window:
+            fp = F.when(F.col("n") == n, _gram(F.col("h"), F.col("at"), n)).otherwise(fp)
+    return placed.select(*keys, "words", "at", "n", fp.alias("fp"))
 
 
 def _text(n: Column) -> Column:
@@ -65,28 +75,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     short = sorted(r[0] for r in items.where(F.size("words") < window).select(F.size("words")).distinct().collect())
     sizes = [window, *short]
 
-    def own(n: int) -> tuple[DataFrame, int]:
-        exact = items if n == window else items.where(F.size("words") == n)
-        return exact, (gram if n == window else n)
-
-    targets = cut(
-        reduce(DataFrame.unionByName, [windows(own(n)[0], ["item_id"], n, own(n)[1]).select("item_id", "n", "fp", _text(F.col("n")).alias("span")) for n in sizes]).distinct(),
-        "targets",
-    )
-    spans = targets.select("n", "fp", "span").distinct()
-    n_prints = targets.select("n", "fp").distinct().count()
-    small = n_prints <= BROADCAST_ROWS
+    own = windows(items, ["item_id"], window, gram, sizes).where(F.col("n") == F.least(F.size("words"), F.lit(window)))
+    targets = cut(own.select("item_id", "n", "fp", _text(F.col("n")).alias("span")).distinct(), "targets")
+    spans = targets.select("n", "span").distinct()
+    prints = targets.select("n", "fp").distinct()
+    small = prints.count() <= BROADCAST_ROWS
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), words_of(F.col(text_col)).alias("words"))
     keys = ["doc_id", "text_hash"]
-    found = []
-    for n in sizes:
-        prints = targets.where(F.col("n") == n).select("fp").distinct()
-        prints = F.broadcast(prints) if small else prints
-        mine = windows(rows, keys, n, gram if n == window else n)
-        found.append(mine.join(prints, "fp", "left_semi").select(*keys, "at", "n", _text(F.col("n")).alias("span")))
-    hits = reduce(DataFrame.unionByName, found)
-    spans = spans.select("n", "span").distinct()
+    mine = windows(rows, keys, window, gram, sizes)
+    if small:
+        found = mine.join(F.broadcast(prints), ["n", "fp"], "left_semi")
+    else:
+        places = mine.select(*keys, "at", "n", "fp").join(prints, ["n", "fp"], "left_semi").select(*keys, "at", "n")
+        of_doc = cut(places.groupBy(*keys).agg(F.collect_set(F.struct("at", "n")).alias("places")).withColumnsRenamed({"doc_id": "d", "text_hash": "t"}), "places")
+        few = of_doc.count() <= BROADCAST_ROWS
+        met = rows.join(F.broadcast(of_doc) if few else of_doc, [F.col("doc_id").eqNullSafe(F.col("d")), F.col("text_hash") == F.col("t")])
+        found = met.select(*keys, "words", F.inline("places"))
+    hits = found.select(*keys, "at", "n", _text(F.col("n")).alias("span"))
     hits = cut(hits.join(F.broadcast(spans) if small else spans, ["n", "span"]).distinct(), "hits")
 
     order = Window.partitionBy(*keys).orderBy("at", "n")
