@@ -1,11 +1,13 @@
 """Sharding by sampled splitters: near-equal bytes per shard, in key order.
 
-The key of a row is (64-bit hash of its text, doc_id), so equal texts stand together and
-a group of copies larger than a shard is still divided, by doc_id. A size-weighted sample
-of keys gives quantile splitters; each record falls into the range between two of them.
+The key of a row is (hash of its text, hash of its doc_id, a tie-break), so equal texts stand
+together and a group of copies larger than a range is still divided, by doc_id, and rows equal in both
+by the tie-break, which tells nothing in the result apart. A size-weighted sample of keys gives
+quantile splitters; each record falls into the range between two of them, found through a
+broadcast table of the splitters by the first bits of the key.
 The exact bytes of every range are then summed, and a range that holds a shard border
 (an overfull one) is subdivided at exactly that byte by a running sum inside the range.
-Only ranges, a table bounded by ``ranges``, meet at one place.
+Only ranges, a table of at most ``MOST_RANGES``, and ``OVERSAMPLE`` keys a range meet at one place.
 
 Defined results: a null text counts as the empty one and is given no bytes besides
 ``overhead``; a null doc_id sorts first; repeated rows each get their own slot; an empty
@@ -23,43 +25,52 @@ SHARDS = 24
 #: At least so many ranges for each shard, and so many rows for a range at most, about.
 RANGES_PER_SHARD = 16
 ROWS_PER_RANGE = 500_000
+MOST_RANGES = 100_000
 #: Sampled keys for each splitter.
 OVERSAMPLE = 8
+#: Splitters are looked up by so many first bits of the key.
+HEAD_BITS = 12
 
 
-def _range_of(key: Column, splitters: list[int]) -> Column:
-    """Number of splitters <= key, by binary search over a constant array."""
-    if not splitters:
-        return F.lit(0)
-    array = F.array(*[F.lit(s) for s in splitters])
-    steps = F.sequence(F.lit(1), F.lit(max(1, len(splitters)).bit_length()))
-    found = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("lo"), F.lit(len(splitters)).alias("hi")),
-        lambda s, _: F.when(s["lo"] >= s["hi"], s).otherwise(
-            F.when(
-                F.get(array, F.shiftright(s["lo"] + s["hi"], 1)) <= key,
-                F.struct((F.shiftright(s["lo"] + s["hi"], 1) + 1).alias("lo"), s["hi"].alias("hi")),
-            ).otherwise(F.struct(s["lo"].alias("lo"), F.shiftright(s["lo"] + s["hi"], 1).alias("hi")))
-        ),
-    )
-    return found["lo"]
+def _head(key: Column) -> Column:
+    return F.shiftright(key, 64 - HEAD_BITS).cast("int")
 
 
-def splitters(keys: DataFrame, ranges: int, total: int) -> list[int]:
-    """Quantile boundaries of ``keys(key, size)`` weighted by size; at most ``ranges - 1``.
+def splitters(keys: DataFrame, ranges: int, total: int) -> DataFrame:
+    """Quantile boundaries (key, tie) of ``keys(key, tie, size)`` weighted by size; at most ``ranges - 1``.
 
     A row is drawn with probability size / (total / wanted), by a hash of its key rather
-    than by chance, so a lost task draws the same rows again.
+    than by chance, so a lost task draws the same rows again. Rows of more than that share are drawn
+    as often as they hold it.
     """
     wanted = ranges * OVERSAMPLE
     share = F.col("size") * F.lit(wanted / max(1, total))
-    unit = F.pmod(F.xxhash64("key", F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    unit = F.pmod(F.xxhash64("key", "tie", F.lit("draw")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    times = (F.floor(share) + F.when(unit < share - F.floor(share), 1).otherwise(0)).cast("int")
+    drawn = keys.withColumn("times", times).where("times > 0").select("key", "tie", "times")
     # the sample is about ranges * OVERSAMPLE keys, whatever the table's size
-    drawn = sorted(r["key"] for r in keys.where(unit < share).select("key").collect())
-    if not drawn:
-        return []
-    return sorted({drawn[len(drawn) * i // ranges] for i in range(1, ranges)})
+    upto = F.sum("times").over(Window.orderBy("key", "tie").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    every = F.sum("times").over(Window.partitionBy())
+    at = drawn.withColumn("upto", upto).withColumn("every", every)
+    quantile = lambda n: F.floor(n * F.lit(ranges) / F.col("every"))
+    return at.where((quantile(F.col("upto")) > quantile(F.col("upto") - F.col("times"))) & (F.col("upto") < F.col("every"))).select("key", "tie").distinct()
+
+
+def _with_range(rows: DataFrame, borders: DataFrame) -> DataFrame:
+    """``rows`` with ``range``, the number of borders <= (key, tie). Borders are looked up by the
+    first bits of the key, so few of them are compared."""
+    numbered = borders.withColumn("at", F.row_number().over(Window.orderBy("key", "tie")) - 1).withColumn("head", _head(F.col("key")))
+    heads = numbered.groupBy("head").agg(F.min("at").alias("before"), F.sort_array(F.collect_list(F.struct("key", "tie"))).alias("borders"))
+    # heads without a border take the number of those below the next lower one that has any
+    last = Window.orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
+    every = rows.sparkSession.range(-(1 << (HEAD_BITS - 1)), 1 << (HEAD_BITS - 1)).select(F.col("id").cast("int").alias("head"))
+    known = every.join(F.broadcast(heads), "head", "left")
+    below = F.coalesce(F.sum(F.coalesce(F.size("borders"), F.lit(0))).over(last), F.lit(0))
+    # 2 ** HEAD_BITS rows
+    lookup = cut(known.select("head", below.alias("below"), F.coalesce("borders", F.array().cast("array<struct<key:bigint,tie:bigint>>")).alias("borders")), "splitters")
+    of_row = rows.withColumn("head", _head(F.col("key"))).join(F.broadcast(lookup), "head")
+    passed = F.size(F.filter("borders", lambda b: (b["key"] < F.col("key")) | ((b["key"] == F.col("key")) & (b["tie"] <= F.col("tie")))))
+    return of_row.withColumn("range", (F.col("below") + passed).cast("long")).drop("head", "below", "borders")
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, overhead: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -76,19 +87,20 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, overhead: int = 8, id_
         (F.octet_length(text) + F.lit(overhead)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
         (grouped.bitwiseOR(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 24)))).alias("key"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("tie"),
     )
-    rows = cut(rows, "sizes")
+    rows = cut(rows, "sizes")  # where the tie-breaks are fixed
     n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    ranges = max(RANGES_PER_SHARD * shards, -(-n // ROWS_PER_RANGE))
-    placed = rows.withColumn("range", _range_of(F.col("key"), splitters(rows, ranges, total)))
+    ranges = min(MOST_RANGES, max(RANGES_PER_SHARD * shards, -(-n // ROWS_PER_RANGE)))
+    placed = _with_range(rows, splitters(rows, ranges, total))
     sums = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
-    # a table of at most `ranges` rows
+    # a table of at most `ranges` + 1 rows
     order = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = cut(
         sums.select("range", F.coalesce(F.sum("bytes").over(order), F.lit(0)).alias("bytes_before"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("rows_before")),
         "ranges",
     )
-    within = Window.partitionBy("range").orderBy("key", F.col("doc_id").asc_nulls_first(), "text_crc32", "size")
+    within = Window.partitionBy("range").orderBy("key", "tie", F.col("doc_id").asc_nulls_first())
     running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (
         placed.withColumn("upto", F.sum("size").over(running))
