@@ -31,7 +31,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -81,30 +81,25 @@ class _Known:
         self.whole = {t: k for t, k in terms.items() if t[-1] != "*"}.get
         self.begin = {t[:-1]: k for t, k in terms.items() if t[-1] == "*"}.get
 
-    def _numbers(self, words) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of words, and of their beginnings (unknown for short words)."""
-        n = len(words)
-        whole = np.fromiter(map(self.whole, words, repeat(self.none)), np.int64, n)
-        begin = np.fromiter(map(self.begin, [w[:PREFIX] if len(w) > PREFIX else "" for w in words], repeat(self.none)), np.int64, n)
-        return whole, begin
-
     def present(self, text: str | None) -> np.ndarray:
-        """Numbers of the text's terms, the unknown one among them."""
-        return np.unique(np.concatenate(self._numbers(set(words_of(text)))))
+        """Numbers of the text's terms, each once, and that of an unknown one."""
+        words = set(words_of(text))
+        begins = {w[:PREFIX] for w in words if len(w) > PREFIX}
+        return np.fromiter(chain(map(self.whole, words, repeat(self.none)), map(self.begin, begins, repeat(self.none))), np.int64, len(words) + len(begins))
 
     def counted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the text's known terms, ascending, their counts)."""
-        words = Counter(words_of(text))
-        numbers = np.concatenate(self._numbers(words))
-        counts = np.tile(np.fromiter(words.values(), np.int64, len(words)), 2)
-        order = np.argsort(numbers)
-        numbers, counts = numbers[order], counts[order]
-        known = int(np.searchsorted(numbers, self.none))
-        if not known:
-            return numbers[:0], counts[:0]
-        numbers, counts = numbers[:known], counts[:known]
-        first = np.flatnonzero(np.r_[True, numbers[1:] != numbers[:-1]])
-        return numbers[first], np.add.reduceat(counts, first)
+        words, begins = Counter(words_of(text)), {}
+        for w, n in words.items():
+            if len(w) > PREFIX:
+                begin = w[:PREFIX]
+                begins[begin] = begins.get(begin, 0) + n
+        size = len(words) + len(begins)
+        numbers = np.fromiter(chain(map(self.whole, words, repeat(self.none)), map(self.begin, begins, repeat(self.none))), np.int64, size)
+        counts = np.fromiter(chain(words.values(), begins.values()), np.int64, size)
+        known = np.flatnonzero(numbers != self.none)
+        order = known[np.argsort(numbers[known])]
+        return numbers[order], counts[order]
 
 
 def lower_share(hits: np.ndarray, n: np.ndarray) -> np.ndarray:
