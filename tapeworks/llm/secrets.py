@@ -1,18 +1,21 @@
 """Secret scan: fixed patterns, and a randomness test battery with false-discovery control.
 
 Base spans come from three patterns (kinds ``assign``, ``access``, ``hex``). The battery then
-tests every other token of ``MIN_TOKEN`` or more signs that mixes letters and digits. Its
-encoding (hex, base32, base64) is inferred from its signs, and against that encoding's
-uniform null it takes: a chi-squared test of the alphabet, a runs test of signs above and
-below the alphabet's middle, and a lag-one serial correlation test. Fisher's rule combines
-the three p-values: near 0 for text, anywhere in (0, 1) for a random key.
-
-False discoveries: short tokens can look random by chance, so levels are set per length class.
-The null is the corpus itself: tokens of one letter case and no digit, scored by the same
-battery, over all documents. Longer nulls being rarer and never more random-looking, those of shorter
-classes count too. Within a length class, a token is reported as kind ``random`` at
-the lowest combined level t at which (null share above t) x (tokens tested) / (tokens above t)
-stays within ``FDR``. Levels are binned, so what meets in one place is a table of bounded size.
+tests every other token of ``MIN_TOKEN`` or more signs of at least two classes (small letters, capitals,
+digits). Its encoding (hex, base32, base64) is inferred from its signs. Two questions are put:
+
+Is it like a random key? Against the encoding's uniform null it takes a chi-squared test of the
+alphabet, a runs test of signs above and below the alphabet's middle, and a lag-one serial correlation
+test. Fisher's rule combines the p-values: near 0 for text, anywhere in (0, 1) for a random
+key. Tokens below ``LEAST_LEVEL`` are not random.
+
+Is it unlike text? Written names repeat few letters often, and change between classes seldom. The null is a
+text whose pairs of signs are equal at the rate ``TEXT_PAIRS`` or more, and whose neighbours differ in class at
+the rate ``TEXT_CHANGES`` or less; both tests' distributions follow from the token's length alone, so levels
+are length-aware and hang on no other token. Fisher's rule combines them, and the procedure of Benjamini and
+Hochberg over all tested tokens holds the share of texts among reported tokens to ``FDR``. Levels are
+binned, always towards fewer reports, so what meets in one place is a table of bounded size.
+Tokens that pass both are reported as kind ``random``.
 
 Defined results: null and empty texts have no spans; repeated rows are scanned each; tokens
 overlapping a base span are left to it; an empty table gives an empty result; other columns
@@ -35,12 +38,17 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 KINDS = ["assign", "access", "hex", "random"]
 #: Tokens that the battery tests.
-MIN_TOKEN = 20
+MIN_TOKEN = 16
 TOKEN = rf"[A-Za-z0-9+/_=-]{{{MIN_TOKEN},}}"
 FDR = 0.01
-#: Tokens below this combined p-value are not random, whatever the corpus.
+#: Tokens below this combined p-value against a random key are not random.
 LEAST_LEVEL = 1e-3
-_BINS = 12
+#: The null of written text: share of equal pairs of signs, sum of cubed shares, rate of class changes.
+TEXT_PAIRS, TEXT_CUBES, TEXT_CHANGES = 0.055, 0.004, 0.25
+#: Levels are told apart by these parts of a power of ten, up to this many powers.
+_PARTS, _POWERS = 20, 40
+#: Matches whose places are summed up together.
+_BLOCK = 64
 #: (name, signs it may hold, size of the alphabet, pattern for signs above its middle)
 ENCODINGS = [("hex", r"^([0-9a-f]+|[0-9A-F]+)$", 16, "[8-9a-fA-F]"), ("base32", r"^[A-Z2-7]+=*$", 32, "[Q-Z2-7]"), ("base64", r"^[A-Za-z0-9+/_-]+=*$", 64, "[g-z0-9+/_-]")]
 
@@ -51,7 +59,6 @@ def _spans(text: Column, pattern: str, kind: str) -> Column:
     order = F.lit(KINDS.index(kind))
     gaps = F.transform(F.split(text, pattern, -1), lambda p: F.length(p))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,token:string>>")
-    state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), empty.alias("out"))
 
     def step(s: Column, token: Column) -> Column:
         start = s["at"] + F.get(gaps, s["i"])
@@ -59,7 +66,16 @@ def _spans(text: Column, pattern: str, kind: str) -> Column:
         span = F.struct(start.alias("start"), order.alias("kind"), end.alias("end"), token.alias("token"))
         return F.struct(end.alias("at"), (s["i"] + 1).alias("i"), F.concat(s["out"], F.array(span)).alias("out"))
 
-    return F.when(F.size(matches) > 0, F.aggregate(matches, state, step, lambda s: s["out"])).otherwise(empty)
+    # spans are gathered by blocks, so that no long array is copied for every match
+    def block(s: Column, first: Column) -> Column:
+        part = F.slice(matches, first, F.lit(_BLOCK))
+        found = F.aggregate(part, F.struct(s["at"].alias("at"), s["i"].alias("i"), empty.alias("out")), step)
+        return bound(found, lambda f: F.struct(f["at"].alias("at"), f["i"].alias("i"), F.concat(s["blocks"], F.array(f["out"])).alias("blocks")))
+
+    none = F.array().cast("array<array<struct<start:int,kind:int,end:int,token:string>>>")
+    state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), none.alias("blocks"))
+    every = F.aggregate(F.sequence(F.lit(1), F.size(matches), F.lit(_BLOCK)), state, block, lambda s: F.flatten(s["blocks"]))
+    return F.when(F.size(matches) > 0, every).otherwise(empty)
 
 
 def _upper_tail(z: Column) -> Column:
@@ -125,8 +141,31 @@ def battery(token: Column) -> Column:
     return bound(x, lambda v: F.least(F.exp(-v / 2) * (1 + v / 2 + v * v / 8), F.lit(1.0)))
 
 
-def _length_class(token: Column) -> Column:
-    return F.least(F.floor(F.log2(F.length(token) / F.lit(float(MIN_TOKEN))) * 2), F.lit(6)).cast("int")
+def unlike_text(token: Column) -> Column:
+    """Combined p-value of a token under the null of written text; small for random keys."""
+    n = F.length(token).cast("double")
+    pairs = n * (n - 1) / 2
+    squares = F.aggregate(F.array_distinct(F.split(token, "")), F.lit(0.0), lambda s, c: s + F.pow(F.length(token) - F.length(F.replace(token, c, F.lit(""))), F.lit(2)))
+    spread = pairs * (TEXT_PAIRS - TEXT_PAIRS**2) + n * (n - 1) * (n - 2) * (TEXT_CUBES - TEXT_PAIRS**2)
+    few_pairs = (pairs * TEXT_PAIRS - 0.5 - (squares - n) / 2) / F.sqrt(spread)
+    # classes as one sign each, then borders between two classes
+    classes = F.translate(token, "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-", "a" * 26 + "A" * 26 + "0" * 10 + "_" * 5)
+    changes = F.length(F.regexp_replace(classes, r"(.)\1*", "x")).cast("double") - 1
+    many_changes = (changes - 0.5 - TEXT_CHANGES * (n - 1)) / F.sqrt((n - 1) * TEXT_CHANGES * (1 - TEXT_CHANGES))
+    log = lambda z: F.ln(F.greatest(_upper_tail(z), F.lit(1e-300)))
+    x = -2 * (log(few_pairs) + log(many_changes))
+    return bound(x, lambda v: F.least(F.exp(-v / 2) * (1 + v / 2), F.lit(1.0)))
+
+
+def borders(scored: DataFrame, fdr: float) -> DataFrame:
+    """One row (border): the least bin of ``scored(bin)`` whose tokens are reported, by Benjamini and Hochberg.
+    Bin b holds levels up to 10 ** (-b / _PARTS)."""
+    counts = scored.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    # at most _PARTS * _POWERS + 1 rows meet here
+    smaller = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("rank", F.sum("n").over(smaller)).withColumn("all", F.sum("n").over(Window.partitionBy()))
+    level = F.pow(F.lit(10.0), -F.col("bin") / F.lit(float(_PARTS)))
+    return ranked.where(level * F.col("all") <= fdr * F.col("rank")).agg(F.min("bin").alias("border")).where("border is not null")
 
 
 def scan(docs: DataFrame, fdr: float = FDR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,38 +173,18 @@ def scan(docs: DataFrame, fdr: float = FDR, id_col: str = "doc_id", text_col: st
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     assign = F.filter(_spans(text, ASSIGN, "assign"), lambda s: F.length(F.regexp_replace(s["token"], _ASSIGN_HEAD, "")) >= ASSIGN_LEAST)
-    long_tokens = F.filter(_spans(text, TOKEN, "random"), lambda s: s["token"].rlike("^[a-z]+$") | (s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]")))
+    several = lambda t: (t.rlike("[a-z]").cast("int") + t.rlike("[A-Z]").cast("int") + t.rlike("[0-9]").cast("int")) >= 2
+    long_tokens = F.filter(_spans(text, TOKEN, "random"), lambda s: several(s["token"]))
     # only spans leave the scan, so the texts are read and matched once
     found = cut(
         rows.select("doc_id", "text_hash", F.array_sort(F.concat(assign, _spans(text, ACCESS, "access"), _spans(text, HEX, "hex"))).alias("base"), long_tokens.alias("long")),
         "spans",
     )
-    bare = found.select(
-        "doc_id",
-        "text_hash",
-        "base",
-        F.filter("long", lambda t: t["token"].rlike("^[a-z]+$") | ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))).alias("long"),
-    )
-    tokens = bare.select("doc_id", "text_hash", F.explode("long").alias("t")).select("doc_id", "text_hash", "t", F.col("t.token").rlike("^[a-z]+$").alias("null"), _length_class(F.col("t.token")).alias("class"))
-    scored = cut(
-        tokens.withColumn("p", battery(F.col("t.token"))).withColumn("bin", F.least(F.floor(-F.log10(F.greatest("p", F.lit(1e-6))) * 2), F.lit(_BINS - 1)).cast("int")),
-        "scores",
-    )
-    counts = scored.groupBy("class", "bin").agg(F.count_if("null").alias("nulls"), F.count_if(~F.col("null")).alias("tested"))
-    upto = Window.partitionBy("class").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy("class")
-    # a longer null token looks random less often, so shorter classes may stand in for it: at most
-    # 7 * _BINS rows meet here
-    shorter = Window.orderBy("class").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    null_at = F.array(*[F.sum(F.when(F.col("bin") <= b, F.col("nulls")).otherwise(0)).over(shorter) for b in range(_BINS)])
-    levels = counts.select(
-        "class",
-        "bin",
-        ((F.get(null_at, F.col("bin")) + 1) / (F.sum("nulls").over(shorter) + 1) * F.sum("tested").over(whole) / F.greatest(F.sum("tested").over(upto), F.lit(1))).alias("rate"),
-    )
-    # one row for each length class
-    borders = levels.where(F.col("rate") <= fdr).groupBy("class").agg(F.max("bin").alias("border"))
-    kept = scored.where(~F.col("null") & (F.col("p") >= LEAST_LEVEL)).join(F.broadcast(borders), "class").where("bin <= border")
+    bare = found.withColumn("long", F.filter("long", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))))
+    tokens = bare.select("doc_id", "text_hash", F.explode("long").alias("t"))
+    level = F.floor(-F.log10(F.greatest(unlike_text(F.col("t.token")), F.lit(10.0**-_POWERS))) * _PARTS).cast("int")
+    scored = cut(tokens.withColumns({"random": battery(F.col("t.token")), "bin": level}), "scores")
+    kept = scored.where(F.col("random") >= LEAST_LEVEL).join(F.broadcast(borders(scored, fdr)), F.col("bin") >= F.col("border"))
     extra = kept.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("t")).alias("extra")).withColumnsRenamed({"doc_id": "d", "text_hash": "h"})
     joined = bare.drop("long").join(extra, [F.col("doc_id").eqNullSafe(F.col("d")), F.col("text_hash") == F.col("h")], "left")
     nothing = F.array().cast("array<struct<start:int,kind:int,end:int,token:string>>")
