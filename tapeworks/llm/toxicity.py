@@ -41,8 +41,10 @@ from pyspark.sql import functions as F
 from tapeworks.llm.common import cut, table
 
 #: Labelled rows a model is fitted on at most, by label: toxic ones are few, and vary more.
-MAX_TOXIC, MAX_CLEAN = 1024, 2048
+MAX_TOXIC, MAX_CLEAN = 512, 1792
 NEIGHBOURS = 15
+#: Nearest examples that a result shows.
+EVIDENCE = 5
 BLOCK = 64
 SEEDS = 64
 #: Blocks visited first, for a k-th best cosine to hold the others' bounds against.
@@ -111,7 +113,8 @@ def lower_share(hits: np.ndarray, n: np.ndarray) -> np.ndarray:
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """All numbers of the ranges [start, end), one after the other."""
     sizes = ends - starts
-    return np.arange(sizes.sum()) + np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) if len(sizes) else np.empty(0, np.int64)
+    upto = np.cumsum(sizes)
+    return np.arange(upto[-1]) + np.repeat(starts - upto + sizes, sizes) if len(sizes) else np.empty(0, np.int64)
 
 
 @dataclass
@@ -207,7 +210,8 @@ class Index:
         scores, rows, of_row = self._rare(numbers, weights)
         bounds = scores.max(axis=1) + (of_row @ self.dense_max[rows] if len(rows) else 0)
         order = np.argsort(-bounds)
-        found_scores, found_at, worst = np.empty(0), np.empty(0, np.int64), 0.0
+        found_scores = found_at = None
+        worst = 0.0
         # a few blocks of highest bound give a k-th best that most others can't reach
         for now in (order[:FIRST], order[FIRST:]):
             now = now[(bounds[now] > 0) & (bounds[now] >= worst - _SLACK)]
@@ -219,14 +223,17 @@ class Index:
             examples, cosines = now[block] * BLOCK + at, here[block, at]
             if skip >= 0:
                 examples, cosines = examples[examples != skip], cosines[examples != skip]
-            found_scores, found_at = np.r_[found_scores, cosines], np.r_[found_at, examples]
+            if found_at is None:
+                found_scores, found_at = cosines, examples
+            else:
+                found_scores, found_at = np.concatenate((found_scores, cosines)), np.concatenate((found_at, examples))
             if len(found_at) > k:
                 hit = np.flatnonzero(found_scores >= -np.partition(-found_scores, k - 1)[k - 1])
                 found_scores, found_at = found_scores[hit], found_at[hit]
             top = np.lexsort((self.ids[found_at], -found_scores))[:k]
             found_scores, found_at = found_scores[top], found_at[top]
             worst = found_scores[-1] if len(found_scores) == k else 0.0
-        return [(min(1.0, float(s)), int(i)) for s, i in zip(found_scores, found_at, strict=True)]
+        return [] if found_at is None else [(min(1.0, s), i) for s, i in zip(found_scores.tolist(), found_at.tolist(), strict=True)]
 
     #: Blocks scored so far, for tests and tuning.
     visited = 0
@@ -404,7 +411,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, score, predicted, evidence (nearest examples)."""
     given = model.on_executors(docs.sparkSession)
-    evidence_type = pa.list_(pa.struct([("example", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = given()
@@ -412,7 +418,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             results = [model.score(t.as_py()) for t in batch.column(2)]
             scores = pa.array([s for s, _ in results], pa.float64())
-            evidence = pa.array([[{"example": int(ids[i]), "cosine": c, "toxic": int(labels[i])} for c, i in near[:5]] for _, near in results], evidence_type)
+            shown = [pair for _, near in results for pair in near[:EVIDENCE]]
+            at = np.array([i for _, i in shown], np.int64)
+            parts = pa.StructArray.from_arrays([pa.array(ids[at]), pa.array([c for c, _ in shown], pa.float64()), pa.array(labels[at].astype(np.int32))], names=["example", "cosine", "toxic"])
+            evidence = pa.ListArray.from_arrays(np.cumsum([0, *(min(EVIDENCE, len(near)) for _, near in results)]).astype(np.int32), parts)
             predicted = pa.array([int(s >= 0.5) for s, _ in results], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), scores, predicted, evidence], names=["doc_id", "held_out", "score", "predicted", "evidence"])
 
