@@ -1,27 +1,29 @@
-"""Line dedup: exact copies and lines within ``EDITS`` edits of another, over all documents.
+"""Line dedup: exact copies and lines within a few edits of another, over all documents.
 
 Exact copies meet under two independent 64-bit hashes of the trimmed line. Near copies come
-from a segment-partition edit join: a line of length L is cut into EDITS + 1 segments, and
-each (L, segment number, segment) is indexed. A line probes the indexes of its own and up to
-EDITS shorter lengths with the few substrings that a match-aware alignment allows. Two lines
-within EDITS edits share a signature; none is missed. Candidates are verified by a banded
-bit-parallel edit distance (a band of 2 * EDITS + 1 diagonals in one word), after their common
-ends are stripped. Texts stay in their scans: only hashes are shuffled, combined first on the
-map side, and only candidates' lines are fetched.
+from a segment-partition edit join. How many edits two lines may differ by follows from the length of
+the shorter one, by ``CLASSES``: each class (least length, edits) has its own join. There a line of
+length L is cut into edits + 1 segments, and each (L, segment number, segment) is indexed. A line
+probes the indexes of its own and up to so many shorter lengths with the few substrings that a
+match-aware alignment allows. Two lines within the edits share a signature; none is missed. Candidates
+are verified by a banded bit-parallel edit distance (a band of 2 * edits + 1 diagonals in one word),
+after their common ends are stripped. Texts stay in their scans: only hashes are shuffled, combined
+first on the map side, and only candidates' lines are fetched.
 
 Signatures that more than ``CROWD`` different lines share are not paired at once: what is left
-of each line without the shared segment must be within EDITS edits too, so it is segmented
-again under the signature. That is exact, and divides a crowd that shares one common part. Pairs whose parities of signs and
-of neighbouring signs differ by more than EDITS edits can cause are dropped inside the join.
+of each line without the shared segment must be within the edits too, so it is segmented
+again under the signature, and so on up to ``DIVISIONS`` times. That is exact, and divides a crowd that
+shares common parts. Pairs whose parities of signs and of neighbouring signs differ by more than
+the edits can cause are dropped inside the join.
 
-Lines form classes: connected components of copies and links. Of each class the first line
-(smallest doc_id, then line number) stays; the others go. Lines of fewer than ``LEAST`` signs
-have only exact copies. All native DataFrame operations.
+Lines form classes of copies: connected components of copies and links. Of each the first line
+(smallest doc_id, then line number) stays; the others go. All native DataFrame operations.
 
 Defined results: a null or empty text has no lines and stays as it is; blank lines are never
-copies and stay; rows that repeat doc_id and text are one document; ties go to the smaller
-doc_id; an empty table gives an empty result; other columns pass through ``dedup`` untouched,
-but for ``n_chars``, which is counted anew where lines went.
+copies and stay; lines shorter than the first class have no edits to spare and only exact copies;
+rows that repeat doc_id and text are one document; ties go to the smaller doc_id; an empty table
+gives an empty result; other columns, whatever their names, pass through ``dedup`` untouched, but for
+``n_chars``, which is counted anew where lines went.
 """
 
 from __future__ import annotations
@@ -31,11 +33,12 @@ from pyspark.sql import functions as F
 
 from tapeworks.llm.common import bound, components, cut, table
 
-EDITS = 2
-LEAST = 30
+#: (least length of the shorter line, edits): about a tenth of it, and at most two.
+CLASSES = ((10, 1), (20, 2))
 CROWD = 512
+DIVISIONS = 3
 BROADCAST_IDS = 1_000_000
-#: Columns of the distance table between two looks at whether it can still end within EDITS.
+#: Columns of the distance table between two looks at whether it can still end within the edits.
 PIECE = 8
 
 
@@ -193,48 +196,71 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return cut(found.join(F.broadcast(ids) if few else ids, "id", "left_semi").groupBy("id").agg(F.min("line").alias("line")), "line-texts")
 
 
-def edit_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """(a, b, distance) for all pairs of different lines (by id) within ``edits`` edits."""
-    if not 0 <= edits <= 14 or least <= edits:
-        raise ValueError("edits must be 0..14 and less than least")
-    long_lines = occurrences(docs, with_text=True).where(F.char_length("line") >= least).select("id", "line")
-    entries = signatures(long_lines, edits).select("id", "sig", "own")
+def _class_links(docs: DataFrame, least: int, below: int | None, edits: int) -> DataFrame:
+    """(a, b, distance) of different lines within ``edits`` edits, the shorter of length least to below - 1."""
+    spark = docs.sparkSession
+    size = F.char_length("line")
+    inside = (size >= least) if below is None else size.between(least, below - 1 + edits)
+    level = occurrences(docs, with_text=True).where(inside).select("id", "line")
+    entries = signatures(level, edits).select("id", "sig", "own")
     shared = cut(_shared(entries), "shared")
     texts = _texts(docs, shared.select("id").distinct())
     one, two = _parities(F.col("line"))
     lines = cut(texts.select("id", "line", one.alias("one"), two.alias("two")), "line-parities")
     marks = lines.select("id", "one", "two")
-    shared = cut(shared.join(marks, "id"), "shared-marked")
-    crowded = cut(shared.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("sig"), "crowded")
-    if crowded.limit(1).count():
-        again = signatures(lines, edits).join(crowded, "sig", "left_semi")
+    candidates, level, parts = None, lines.select("id", "line"), None
+    for division in range(DIVISIONS + 1):
+        if division:
+            entries = signatures(level, edits, "first", ("id", "first", "first_own")).select("id", "sig", (F.col("first_own") & F.col("own")).alias("own"))
+            shared = _shared(entries)
+        shared = cut(shared.join(marks, "id"), "shared-marked")
+        crowded = cut(shared.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("sig"), "crowded")
+        last = division == DIVISIONS or not crowded.limit(1).count()
+        found = _pairs(shared if last else shared.join(crowded, "sig", "left_anti"), edits)
+        candidates = found if candidates is None else candidates.unionByName(found)
+        if last:
+            break
+        # an index entry is cut at its segment, so both roles meet under the signature
+        parts = signatures(level, edits) if not division else signatures(level, edits, "first", ("id", "first", "first_own"))
+        parts = parts.join(crowded, "sig", "left_semi")
         rest = F.concat(F.left("line", F.col("at") - 1), F.substring(F.col("line"), F.col("at") + F.col("width"), F.char_length("line")))
-        # an index entry is cut at its segment, so both roles meet under the first signature
-        left = again.select("id", F.col("sig").alias("first"), F.col("own").alias("first_own"), rest.alias("line"))
-        finer = signatures(left, edits, "first", ("id", "first", "first_own")).select("id", "sig", (F.col("first_own") & F.col("own")).alias("own"))
-        fine = cut(_shared(finer).join(marks, "id"), "shared-finer")
-        candidates = _pairs(shared.join(crowded, "sig", "left_anti"), edits).unionByName(_pairs(fine, edits)).distinct()
-    else:
-        candidates = _pairs(shared, edits)
-    candidates = cut(candidates, "line-candidates")
+        own = F.col("own") & F.col("first_own") if division else F.col("own")
+        level = cut(parts.select("id", own.alias("first_own"), F.col("sig").alias("first"), rest.alias("line")), "line-rests")
+    candidates = cut(candidates.distinct(), "line-candidates")
     both = candidates.join(lines.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a").join(lines.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
+    if below is not None:
+        both = both.where(F.least(F.char_length("line_a"), F.char_length("line_b")) < below)
     # pairs are few bytes but much work: deal them to all cores
-    both = both.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
+    both = both.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "a", "b")
     return both.select("a", "b", edit_distance(F.col("line_a"), F.col("line_b"), edits).alias("distance")).where(F.col("distance").isNotNull())
 
 
-def removed_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+def edit_links(docs: DataFrame, classes: tuple[tuple[int, int], ...] = CLASSES) -> DataFrame:
+    """(a, b, distance) for all pairs of different lines (by id) within the edits that the shorter
+    one's length allows by ``classes``: (least length, edits), both rising."""
+    found = None
+    for (least, edits), after in zip(classes, [*classes[1:], None], strict=True):
+        if not 1 <= edits <= 14 or least <= edits or (after and (after[0] <= least or after[1] < edits)):
+            raise ValueError("classes must rise, with edits 1..14 and less than the least length")
+        links = _class_links(docs, least, after[0] if after else None, edits)
+        found = links if found is None else found.unionByName(links)
+    return found
+
+
+def removed_lines(docs: DataFrame, classes: tuple[tuple[int, int], ...] = CLASSES) -> tuple[DataFrame, DataFrame]:
     """((doc_id, text_hash, removed), links) of docs(doc_id, text). removed: array of (line_no,
     class_doc_id, class_line_no), the lines that go and the first line of the class of each."""
     occ = occurrences(docs)
-    links = cut(edit_links(docs, edits, least), "line-links")
+    links = cut(edit_links(docs, classes), "line-links")
     roots = cut(components(links.select(F.col("a").alias("src"), F.col("b").alias("dst"))), "line-roots")
     exact = occ.groupBy("id", "id2").agg(F.min(F.struct("doc_id", "line_no", "text_hash")).alias("first"), F.count(F.lit(1)).alias("n"))
     placed = exact.join(roots, "id", "left").where((F.col("n") > 1) | F.col("root").isNotNull()).select("id", "id2", "first", "root")
     placed = cut(placed, "line-classes")
-    heads = placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("first").alias("head"))
-    classes = placed.join(heads, "root", "left").select("id", "id2", F.coalesce("head", "first").alias("head"))
-    gone = occ.join(classes, ["id", "id2"]).where(~((F.col("doc_id").eqNullSafe(F.col("head.doc_id"))) & (F.col("line_no") == F.col("head.line_no")) & (F.col("text_hash") == F.col("head.text_hash"))))
+    heads = cut(placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("first").alias("head")), "line-heads")
+    few = heads.count() <= BROADCAST_IDS
+    # a component may hold many lines, so its head goes to them and not they to it
+    classes_of = placed.join(F.broadcast(heads) if few else heads, "root", "left").select("id", "id2", F.coalesce("head", "first").alias("head"))
+    gone = occ.join(classes_of, ["id", "id2"]).where(~((F.col("doc_id").eqNullSafe(F.col("head.doc_id"))) & (F.col("line_no") == F.col("head.line_no")) & (F.col("text_hash") == F.col("head.text_hash"))))
     return gone.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("line_no", F.col("head.doc_id").alias("class_doc_id"), F.col("head.line_no").alias("class_line_no")))).alias("removed")), links
 
 
@@ -243,17 +269,24 @@ def _joined(rows: DataFrame, removed: DataFrame) -> DataFrame:
     return rows.join(r, [F.col("doc_id").eqNullSafe(F.col("_doc")), F.col("text_hash") == F.col("_hash")], "left").drop("_doc", "_hash")
 
 
-def dedup(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def dedup(docs: DataFrame, classes: tuple[tuple[int, int], ...] = CLASSES) -> DataFrame:
     """``docs`` with the removed lines taken out of their texts; every row and column stays."""
-    removed, _ = removed_lines(docs.select("doc_id", "text"), edits, least)
-    numbered = F.transform(lines_of(F.col("text")), lambda line, i: F.struct(i.alias("i"), line.alias("line")))
+    removed, _ = removed_lines(docs.select("doc_id", "text"), classes)
+    # the row is one value, so that no name of its columns can clash with ours
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
+    numbered = F.transform(lines_of(F.col("row.text")), lambda line, i: F.struct(i.alias("i"), line.alias("line")))
     kept = F.array_join(F.transform(F.filter(numbered, lambda x: ~F.array_contains(F.col("removed.line_no"), x["i"])), lambda x: x["line"]), "\n")
-    rows = docs.withColumn("text_hash", F.xxhash64("text")) if "text_hash" not in docs.columns else docs
-    out = _joined(rows, removed).withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept))
-    if "n_chars" in docs.columns:
-        counted = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("removed").isNull(), F.col("n_chars")).otherwise(counted))
-    return out.select(*docs.columns)
+    out = _joined(rows, removed).withColumn("kept", F.when(F.col("removed").isNotNull(), kept))
+
+    def column(field) -> Column:
+        old = F.col("row")[field.name]
+        if field.name == "text":
+            return F.coalesce("kept", old).alias("text")
+        if field.name == "n_chars":
+            return F.coalesce(F.char_length("kept").cast(field.dataType), old).alias("n_chars")
+        return old.alias(field.name)
+
+    return out.select(*map(column, docs.schema))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,18 +40,52 @@ def test_distance(spark, edits):
 
 
 def corpus():
-    base = ["".join(R.choice("abcdefgh ") for _ in range(R.randint(29, 60))).strip() for _ in range(50)]
+    base = ["".join(R.choice("abcdefgh ") for _ in range(R.randint(*R.choice([(8, 24), (18, 22), (29, 60)])))).strip() for _ in range(70)]
     return ["\n".join(edited(R.choice(base), R.choice([0, 0, 1, 1, 2, 3])) for _ in range(R.randint(1, 5))) for _ in range(120)]
 
 
-@pytest.mark.parametrize("crowd", [512, 2])
-def test_links_equal_brute_force(docs_of, monkeypatch, crowd):
+def allowed(a, b, classes=L.CLASSES):
+    return max((edits for least, edits in classes if min(len(a), len(b)) >= least), default=0)
+
+
+@pytest.mark.parametrize(("crowd", "classes"), [(512, L.CLASSES), (2, L.CLASSES), (3, ((6, 2), (30, 4)))])
+def test_links_equal_brute_force(docs_of, monkeypatch, crowd, classes):
     monkeypatch.setattr(L, "CROWD", crowd)
     docs = docs_of(corpus())
     line = {r.id: r.line for r in L.occurrences(docs, True).collect()}
-    long = [i for i in line if len(line[i]) >= L.LEAST]
-    want = {tuple(sorted((a, b))): d for n, a in enumerate(long) for b in long[:n] if abs(len(line[a]) - len(line[b])) <= 2 and (d := distance(line[a], line[b])) <= 2}
-    assert {tuple(sorted((r.a, r.b))): r.distance for r in L.edit_links(docs).collect()} == want and len(want) > 50
+    ids = list(line)
+    want = {}
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            most = allowed(line[a], line[b], classes)
+            if abs(len(line[a]) - len(line[b])) <= most and (d := distance(line[a], line[b])) <= most:
+                want[tuple(sorted((a, b)))] = d
+    assert {tuple(sorted((r.a, r.b))): r.distance for r in L.edit_links(docs, classes).collect()} == want and len(want) > 50
+
+
+def test_a_word_replaced_in_a_long_line(docs_of):
+    """Classes with more edits find near copies that a fixed radius of two loses."""
+    rng = random.Random(12)
+    pairs = []
+    for _ in range(12):
+        words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 7))) for _ in range(30)]
+        copy = list(words)
+        copy[rng.randrange(30)] = "other"
+        pairs.append((" ".join(words), " ".join(copy)))
+    docs = docs_of([t for pair in pairs for t in pair])
+    found = L.edit_links(docs, ((10, 1), (20, 2), (100, 7))).count()
+    assert found == 12 and L.edit_links(docs).count() < 12
+
+
+def test_crowds_are_divided_again(docs_of, monkeypatch):
+    """Lines that share two long parts stay a crowd after one division."""
+    monkeypatch.setattr(L, "CROWD", 8)
+    rng = random.Random(3)
+    texts = ["same beginning of it " + "".join(rng.choice("abcdefghij") for _ in range(20)) + " and the same long ending" for _ in range(40)]
+    texts += [edited(t, 1) for t in texts[:10]]
+    line = {r.id: r.line for r in L.occurrences(docs_of(texts), True).collect()}
+    want = {tuple(sorted((a, b))) for n, a in enumerate(line) for b in list(line)[:n] if distance(line[a], line[b]) <= 2}
+    assert {tuple(sorted((r.a, r.b))) for r in L.edit_links(docs_of(texts)).collect()} == want and len(want) >= 8
 
 
 def brute(texts):
@@ -65,7 +99,7 @@ def brute(texts):
     find = lambda k: k if root.setdefault(k, k) == k else find(root[k])
     for n, a in enumerate(keys):
         for b in keys[:n]:
-            if min(len(a), len(b)) >= L.LEAST and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2:
+            if (most := allowed(a, b)) and abs(len(a) - len(b)) <= most and distance(a, b) <= most:
                 root[find(a)] = find(b)
     head = {}
     for k in keys:
@@ -95,3 +129,11 @@ def test_odd_inputs(docs_of):
     assert L.dedup(docs_of([])).count() == 0
     nulls = L.dedup(docs_of(["a line", "a line"], [None, 5])).collect()
     assert sorted((r.doc_id is None, r.text) for r in nulls) == [(False, ""), (True, "a line")]
+
+
+def test_columns_of_any_name_pass(spark):
+    names = ["text_hash", "removed", "_doc", "_hash", "line_no", "id", "root", "kept", "row", "head", "line"]
+    rows = [(i, "one line that is the same\nother " + "xyzuvw"[i] * 9, *[f"{n}{i}" for n in names]) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"{n} string" for n in names))
+    got = L.dedup(docs).orderBy("doc_id").collect()
+    assert [r.text.count("\n") for r in got] == [1, 0, 0, 0] and [tuple(r)[2:] for r in got] == [tuple(r[2:]) for r in rows]
