@@ -39,6 +39,21 @@ def alerts(grid: DataFrame, above: float | None = None, below: float | None = No
 ALERTS = {"no_publishes": (300, None, 1), "crossed_book": (300, 0, None), "sequence_gaps": (3600, 5, None), "publish_failures": (300, 0, None), "reconnects": (900, 10, None), "consumer_absent": (600, None, 1)}
 
 
+def evaluate(points: DataFrame, rules: dict[str, tuple[int, float | None, float | None]] = ALERTS) -> DataFrame:
+    """(alert, bucket, total) of every window in which a rule fires, by points (ts, name, value). The windows
+    run over the span of all points, so a metric that has none is silent and can fire."""
+    span = points.agg(F.unix_seconds(F.min("ts")).alias("a"), F.unix_seconds(F.max("ts")).alias("z"))
+    table = [(name, seconds, None if above is None else float(above), None if below is None else float(below)) for name, (seconds, above, below) in rules.items()]
+    known = points.sparkSession.createDataFrame(table, "name string, seconds bigint, above double, below double")
+    start = lambda c: F.floor(c / F.col("seconds")) * F.col("seconds")
+    # one row of span, and a row for each rule
+    grid = F.broadcast(known).join(F.broadcast(span), F.lit(True)).select("name", "above", "below", F.explode(F.sequence(start(F.col("a")), start(F.col("z")), F.col("seconds"))).alias("at"))
+    sums = points.join(F.broadcast(known), "name").groupBy("name", start(F.unix_seconds("ts")).alias("at")).agg(F.sum("value").alias("total"))
+    filled = grid.join(sums, ["name", "at"], "left").withColumn("total", F.coalesce("total", F.lit(0)))
+    fires = F.coalesce(F.col("total") > F.col("above"), F.lit(False)) | F.coalesce(F.col("total") < F.col("below"), F.lit(False))
+    return filled.where(fires).select(F.col("name").alias("alert"), F.timestamp_seconds("at").alias("bucket"), "total")
+
+
 def rate_per_minute(grid: DataFrame, seconds: int) -> DataFrame:
     """Rates per label, and the highest label of each bucket."""
     rates = grid.withColumn("per_minute", F.col("total") * 60.0 / seconds)

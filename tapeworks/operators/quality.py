@@ -84,6 +84,15 @@ def freshness(rows: DataFrame, as_of, warn: int = config.SOURCE_FRESHNESS["trade
     return last.select("last_arrival", stale.alias("staleness_minutes"), status.alias("status"))
 
 
+def freshness_of(sources: dict[str, DataFrame], as_of, thresholds: dict[str, tuple[int, int]] = config.SOURCE_FRESHNESS) -> DataFrame:
+    """One row a source, each against its own (warn, error) minutes; unlisted ones as trades."""
+    found = [freshness(rows, as_of, *thresholds.get(name, thresholds["trades"])).withColumn("source", F.lit(name)) for name, rows in sources.items()]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.select("source", "last_arrival", "staleness_minutes", "status")
+
+
 def should_run(rows: DataFrame, as_of, limit: int = config.FRESHNESS_MINUTES) -> tuple[bool, str]:
     """Gate of a scheduled run: skip when the feed is silent or stale."""
     found = freshness(rows, as_of).first()

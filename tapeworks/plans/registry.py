@@ -35,10 +35,13 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from tapeworks.plans import registry_marts  # noqa: F401  (adds its own)
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
 
 
@@ -251,17 +254,6 @@ def contiguity_gap_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.gaps(tape(spark, sf_dir))
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
-def missing_products_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "customer").select("c_custkey").join(load(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
-
-
-@query("SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)")
-def relationship_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = load(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
-    return checks.orphans(rows, load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
-
-
 @query(f"""WITH {TAPE_SQL}, e AS (SELECT product_id, min(trade_id) AS a, max(trade_id) AS b FROM tape GROUP BY 1), w AS (SELECT product_id, unnest(range(a, b + 1)) AS trade_id FROM e)
 SELECT w.product_id, w.trade_id FROM w WHERE NOT EXISTS (SELECT 1 FROM tape t WHERE t.product_id = w.product_id AND t.trade_id = w.trade_id)""")
 def id_set_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,13 +317,6 @@ def stall_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("product_id", F.unix_micros("silent_from").alias("silent_from"), F.unix_micros("silent_to").alias("silent_to"), "seconds")
 
 
-@query("""SELECT epoch_us(max(ts)) AS last_arrival, cast(20 AS BIGINT) AS staleness_minutes, 'warn' AS status FROM events""")
-def freshness_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).withColumnRenamed("ts", "publish_time")
-    as_of = rows.agg(F.max("publish_time") + F.expr("interval 20 minutes 30 seconds")).first()[0]
-    return quality.freshness(rows, as_of).withColumn("last_arrival", F.unix_micros("last_arrival"))
-
-
 @query(f"""WITH {TAPE_SQL}, r AS (SELECT product_id, lag_ms, row_number() OVER (PARTITION BY product_id ORDER BY lag_ms) - 1 AS i, count(*) OVER (PARTITION BY product_id) AS n FROM tape)
 SELECT product_id, max(CASE WHEN i = least(floor(n * 0.5), n - 1) THEN lag_ms END) AS p50, max(CASE WHEN i = least(floor(n * 0.95), n - 1) THEN lag_ms END) AS p95, max(CASE WHEN i = least(floor(n * 0.99), n - 1) THEN lag_ms END) AS p99 FROM r GROUP BY 1""")
 def lag_percentile_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -380,6 +365,8 @@ def tumbling_batch_equiv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scratch(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         import tempfile
 
         base = f"file://{tempfile.gettempdir()}/checkpoints"
@@ -404,16 +391,21 @@ def tumbling_stream_equiv(spark: SparkSession, sf_dir: str) -> DataFrame:
     updates = windowed_bars(_stream_of(spark, sf_dir), HOUR)
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.withColumns({"pane_index": F.lit(number).cast("bigint"), "written_at": F.current_timestamp()}).write.mode("append").parquet(f"{where}/panes")
+        # a batch that is tried again replaces what it wrote
+        batch.withColumns({"pane_index": F.lit(number).cast("bigint"), "written_at": F.current_timestamp()}).write.mode("overwrite").parquet(f"{where}/panes/batch={number}")
 
     updates.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{where}/state").trigger(availableNow=True).start().awaitTermination()
     last = recon.final_panes(spark.read.parquet(f"{where}/panes"))
     return plain(last, "product_id", "bar_start", "open", "high", "low", "close", "volume", "trade_count", "vwap", "first_trade_id", "last_trade_id")
 
 
-@query()
+@query(f"""WITH {TAPE_SQL}, b AS (SELECT product_id, cast(floor(epoch(ts) / 3600) * 3600 AS BIGINT) AS bar_start, arg_min(cents, trade_id) AS o, max(cents) AS h, min(cents) AS l, arg_max(cents, trade_id) AS c, sum(lots) AS lots, sum(cents * lots) AS quote, count(*) AS n,
+  min(trade_id) AS first_id, max(trade_id) AS last_id FROM tape GROUP BY 1, 2), e AS (SELECT product_id, max(bar_start) AS open_window FROM b GROUP BY 1)
+SELECT b.product_id, bar_start, bar_start + 3600 AS bar_end, (o / 100.0)::DOUBLE AS open, (h / 100.0)::DOUBLE AS high, (l / 100.0)::DOUBLE AS low, (c / 100.0)::DOUBLE AS close, (lots / 100.0)::DOUBLE AS volume, n AS trade_count, round(quote::DOUBLE / lots / 100, 6) AS vwap,
+  first_id AS first_trade_id, last_id AS last_trade_id, cast(0 AS BIGINT) AS pane_index, false AS is_final_pane FROM b JOIN e ON b.product_id = e.product_id WHERE bar_start < open_window""")
 def stateful_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Panes by the stateful processor, over the tape as a stream."""
+    """Panes by the stateful processor, over the tape as a stream: it comes in order of time, so each
+    window fires once, when a later trade passes its end, and a product's last window stays open."""
     from tapeworks.streaming.jobs import append_panes, drain, pane_bars
 
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -434,7 +426,13 @@ def book_state_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(book.book_state(staging.flatten_l2(_l2_raw(spark, sf_dir), None)), "product_id", "event_minute", "side", "price", "size")
 
 
-@query()
+@query("""WITH m AS (SELECT event_type AS product_id, event_id AS line_no, cast(round(value * 100) AS BIGINT) AS cents, k, k % 10 = 7 AS is_snapshot FROM (SELECT *, cast(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)),
+s AS (SELECT *, max(CASE WHEN is_snapshot THEN line_no END) OVER (PARTITION BY product_id ORDER BY line_no) AS snap FROM m),
+c AS (SELECT product_id, snap, line_no, 'buy' AS side, cents, CASE WHEN is_snapshot THEN k + 1 ELSE k END AS size FROM s WHERE snap IS NOT NULL UNION ALL SELECT product_id, snap, line_no, 'sell', cents + 50, CASE WHEN is_snapshot THEN k + 2 ELSE 0 END FROM s WHERE snap IS NOT NULL),
+l AS (SELECT s.product_id, s.line_no, c.side, c.cents, arg_max(c.size, c.line_no) AS size FROM s JOIN c ON s.product_id = c.product_id AND s.snap = c.snap AND c.line_no <= s.line_no GROUP BY ALL),
+q AS (SELECT product_id, line_no, max(CASE WHEN side = 'buy' THEN cents END) AS bid, min(CASE WHEN side = 'sell' THEN cents END) AS ask, arg_max(size, cents) FILTER (WHERE side = 'buy') AS bid_size, arg_min(size, cents) FILTER (WHERE side = 'sell') AS ask_size, count(*) AS n FROM l WHERE size > 0 GROUP BY 1, 2)
+SELECT s.product_id, cast(s.line_no AS INTEGER) AS line_no, snap IS NOT NULL AS ready, (bid / 100.0)::DOUBLE AS best_bid, bid_size::DOUBLE AS bid_size, (ask / 100.0)::DOUBLE AS best_ask, ask_size::DOUBLE AS ask_size, cast(coalesce(n, 0) AS INTEGER) AS levels, coalesce(bid >= ask, false) AS crossed
+FROM s LEFT JOIN q ON q.product_id = s.product_id AND q.line_no = s.line_no""")
 def order_book_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The book machine over the tape's book messages, as a stream."""
     from tapeworks import schemas
