@@ -208,7 +208,7 @@ def _class_links(docs: DataFrame, least: int, below: int | None, edits: int) ->
     one, two = _parities(F.col("line"))
     lines = cut(texts.select("id", "line", one.alias("one"), two.alias("two")), "line-parities")
     marks = lines.select("id", "one", "two")
-    candidates, level, parts = None, lines.select("id", "line"), None
+    candidates, level = None, lines.select("id", "line")
     for division in range(DIVISIONS + 1):
         if division:
             entries = signatures(level, edits, "first", ("id", "first", "first_own")).select("id", "sig", (F.col("first_own") & F.col("own")).alias("own"))
@@ -216,16 +216,20 @@ def _class_links(docs: DataFrame, least: int, below: int | None, edits: int) ->
         shared = cut(shared.join(marks, "id"), "shared-marked")
         crowded = cut(shared.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("sig"), "crowded")
         last = division == DIVISIONS or not crowded.limit(1).count()
+        if not last:
+            # an index entry is cut at its segment, so both roles meet under the signature
+            parts = signatures(level, edits) if not division else signatures(level, edits, "first", ("id", "first", "first_own"))
+            parts = parts.join(crowded, "sig", "left_semi")
+            rest = F.concat(F.left("line", F.col("at") - 1), F.substring(F.col("line"), F.col("at") + F.col("width"), F.char_length("line")))
+            own = F.col("own") & F.col("first_own") if division else F.col("own")
+            level = cut(parts.select("id", own.alias("first_own"), F.col("sig").alias("first"), rest.alias("line")), "line-rests")
+            # what is too short for as many segments stays as it is
+            crowded = cut(level.groupBy(F.col("first").alias("sig")).agg(F.min(F.char_length("line")).alias("size")).where(F.col("size") > edits).select("sig"), "divided")
+            level = level.join(crowded.withColumnRenamed("sig", "first"), "first", "left_semi")
         found = _pairs(shared if last else shared.join(crowded, "sig", "left_anti"), edits)
         candidates = found if candidates is None else candidates.unionByName(found)
         if last:
             break
-        # an index entry is cut at its segment, so both roles meet under the signature
-        parts = signatures(level, edits) if not division else signatures(level, edits, "first", ("id", "first", "first_own"))
-        parts = parts.join(crowded, "sig", "left_semi")
-        rest = F.concat(F.left("line", F.col("at") - 1), F.substring(F.col("line"), F.col("at") + F.col("width"), F.char_length("line")))
-        own = F.col("own") & F.col("first_own") if division else F.col("own")
-        level = cut(parts.select("id", own.alias("first_own"), F.col("sig").alias("first"), rest.alias("line")), "line-rests")
     candidates = cut(candidates.distinct(), "line-candidates")
     both = candidates.join(lines.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a").join(lines.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
     if below is not None:

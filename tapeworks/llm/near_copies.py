@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeworks.llm import simhash
@@ -247,12 +247,15 @@ def keep_one_each(docs: DataFrame) -> DataFrame:
     rows = marked.where(F.col("doc_id").isNotNull()).join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("root"))
     rows = cut(rows, "near-placed")
     heads = rows.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("head"))
-    gone = cut(rows.join(heads, "root").where((F.col("doc_id") != F.col("head.doc_id")) | (F.col("text_hash") != F.col("head.text_hash"))).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(), "near-copies")
+    gone = cut(rows.join(heads, "root").where((F.col("doc_id") != F.col("head.doc_id")) | (F.col("text_hash") != F.col("head.text_hash"))).select(F.col("doc_id").alias("_near_doc"), F.col("text_hash").alias("_near_hash")).distinct(), "near-copies")
     few = gone.count() <= simhash.BROADCAST_IDS
-    match = [docs["doc_id"] == F.col("_doc"), F.xxhash64(docs["text"]) == F.col("_hash")]
+    match = [docs["doc_id"] == F.col("_near_doc"), F.xxhash64(docs["text"]) == F.col("_near_hash")]
     kept = docs.join(F.broadcast(gone) if few else gone, match, "left_anti")
-    named = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-    if not named:
-        return kept
-    once = kept.where(F.col("doc_id").isNotNull()).withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
-    return once.unionByName(kept.where(F.col("doc_id").isNull()))
+    # rows that repeat an id and a text are few: only these are brought together, and the first by all their columns stays
+    again = cut(rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("_near_doc"), F.col("text_hash").alias("_near_hash")), "near-repeats")
+    rare = again.count() <= simhash.BROADCAST_IDS
+    again = F.broadcast(again) if rare else again
+    first = Window.partitionBy("_near_doc", "_near_hash").orderBy(F.to_json(F.struct(*[F.col(f"_near_row.`{c}`") for c in docs.columns if c != "text"])))
+    whole = kept.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_near_row"), F.col("doc_id"), F.xxhash64("text").alias("_near_h"))
+    repeated = whole.join(again, [F.col("doc_id") == F.col("_near_doc"), F.col("_near_h") == F.col("_near_hash")]).withColumn("_near_n", F.row_number().over(first)).where("_near_n = 1").select("_near_row.*")
+    return kept.join(again, match, "left_anti").unionByName(repeated)

@@ -6,10 +6,13 @@ the hashes have it. Distinct fingerprints are the nodes, so copies cost one row.
 
 Linking within ``radius`` bits: the 64 bits are four blocks of 16. Two fingerprints within
 2 bits agree on at least two blocks, so each fingerprint goes to the six shards named by its
-pairs of blocks; any linked pair shares one. Each shard is a BK-tree (children keyed by
-Hamming distance to the parent); a query follows only edges within the radius. A fingerprint
-set grows with the corpus, so shard trees are shipped by the shuffle rather than broadcast.
-Within a shard only a spanning forest is emitted (at most one edge a member), never all pairs.
+pairs of blocks; any linked pair shares one. Shards of one member are dropped. Each other shard is a
+BK-tree (children keyed by Hamming distance to the parent); a query follows only edges within the
+radius. As long as the shards' members are few (``BROADCAST_MEMBERS``, counted first), the trees are
+built once and broadcast, and every fingerprint is sought in its shards' trees where it lies; beyond
+that a set of fingerprints that grows with the corpus is too much to broadcast, and the
+shuffle brings each shard's members together. Only edges that join two parts of a shard are emitted
+(at most one a member and task), never all pairs.
 
 A shard whose members exceed ``SHARD_LIMIT`` is divided once more: its members also agree
 within ``radius`` bits on the other 32 bits, cut into radius + 1 pieces, one of which must be
@@ -38,6 +41,7 @@ SHINGLE = 3
 RADIUS = 2
 SHARD_LIMIT = 20_000
 BROADCAST_IDS = 1_000_000
+BROADCAST_MEMBERS = 250_000
 _SEED = 42
 
 
@@ -110,31 +114,62 @@ class BKTree:
         return new
 
 
-def _forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Spanning edges of the link graph of distinct ``values`` (uint64)."""
-    if len(values) == 2:
-        a, b = int(values[0]), int(values[1])
-        return [(a, b)] if (a ^ b).bit_count() <= radius else []
-    tree, parent, edges = BKTree(), [], []
-
-    def top(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
+class _Parts:
+    """Union-find over numbers."""
+
+    def __init__(self) -> None:
+        self.parent: dict = {}
+
+    def top(self, i):
+        self.parent.setdefault(i, i)
+        while self.parent[i] != i:
+            self.parent[i] = self.parent[self.parent[i]]
+            i = self.parent[i]
         return i
 
+    def join(self, i, j) -> bool:
+        """Whether i and j were apart."""
+        a, b = self.top(i), self.top(j)
+        self.parent[b] = a
+        return a != b
+
+
+def _forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Spanning edges of the link graph of distinct ``values`` (uint64)."""
+    tree, parts, edges = BKTree(), _Parts(), []
     for value in map(int, values):
         near = tree.within(value, radius)
         new = tree.add(value)
-        parent.append(new)
-        for other in near:
-            a, b = top(other), top(new)
-            if a != b:
-                parent[b] = a
-                edges.append((tree.values[other], value))
+        edges += [(tree.values[other], value) for other in near if parts.join(other, new)]
     return edges
 
 
+def shard_trees(members: pa.Table) -> dict[int, BKTree]:
+    """A tree of each shard, from members (key, fp)."""
+    trees: dict[int, BKTree] = {}
+    for key, fp in zip(members["key"].to_pylist(), members["fp"].to_pylist(), strict=True):
+        trees.setdefault(key, BKTree()).add(fp % (1 << 64))
+    return trees
+
+
+def _sought(shared, radius: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Edges of each member (key, fp) with what its shard's tree holds within the radius."""
+        trees, parts = shared.value, _Parts()
+        for batch in batches:
+            src, dst = [], []
+            for key, fp in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                tree, value = trees[key], fp % (1 << 64)
+                for other in tree.within(value, radius):
+                    if tree.values[other] < value and parts.join((key, value), (key, tree.values[other])):
+                        src.append(tree.values[other])
+                        dst.append(value)
+            both = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (src, dst)]
+            yield pa.RecordBatch.from_arrays(both, names=["src", "dst"])
+
+    return run
+
+
 def _shard_edges(radius: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by key; a key may go over the end of a frame."""
@@ -193,9 +228,13 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
         sub = F.array(*[F.xxhash64("key", F.lit(p), F.shiftright("rest", s).bitwiseAND(F.lit((1 << w) - 1))) for p, (s, w) in enumerate(((0, 11), (11, 11), (22, 10)))])
         full = keyed.withColumn("rest", rest).join(crowded, "key", "left_semi").select("fp", F.explode(sub).alias("key"))
         keyed = keyed.select("fp", "key").join(crowded, "key", "left_anti").select("fp", "key").unionByName(full)
+    several = keyed.groupBy("key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("key")
+    members = cut(keyed.select("key", "fp").distinct().join(several, "key", "left_semi").select("key", "fp"), "shard-members")
+    if members.count() <= BROADCAST_MEMBERS:
+        trees = fps.sparkSession.sparkContext.broadcast(shard_trees(members.toArrow()))
+        return members.mapInArrow(_sought(trees, radius), "src bigint, dst bigint").distinct()
     return (
-        keyed.select("key", "fp")
-        .repartition("key")
+        members.repartition("key")
         .sortWithinPartitions("key")
         .mapInPandas(_shard_edges(radius), "src bigint, dst bigint")
         .distinct()
@@ -210,20 +249,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     placed = nodes.join(groups, nodes["fp"] == groups["id"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = cut(placed.join(smallest, "root").select("fp", "component_id"), "component-ids")
-    return marked.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one_each(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one document of each component, that with the smallest id; all columns stay.
-    Rows without an id stay; of rows that repeat an id, one does."""
-    gone = cut(near_duplicates(docs, radius, shingle).where("doc_id <> component_id").select("doc_id").distinct(), "near-copies")
-    few = gone.count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-    if not repeated:
-        return kept
-    named = kept.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where(F.col("doc_id").isNull()))
+    few = ids.count() <= BROADCAST_IDS
+    return marked.join(F.broadcast(ids) if few else ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

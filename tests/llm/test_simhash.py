@@ -58,8 +58,9 @@ def test_links_reach_all_within_two_bits(spark, monkeypatch):
     signed = [v - 2**64 if v >> 63 else v for v in values]
     fps = spark.createDataFrame([(v,) for v in signed], "fp bigint")
     want = groups(values, signed)
-    for limit in (S.SHARD_LIMIT, 3):
+    for limit, members in ((S.SHARD_LIMIT, S.BROADCAST_MEMBERS), (3, S.BROADCAST_MEMBERS), (S.SHARD_LIMIT, 0), (3, 0)):
         monkeypatch.setattr(S, "SHARD_LIMIT", limit)
+        monkeypatch.setattr(S, "BROADCAST_MEMBERS", members)
         found = {r.id: r.root for r in S.components(S.links(fps)).collect()}
         assert [found.get(v, v) for v in signed] == want
 
@@ -73,13 +74,17 @@ def test_tree():
         assert sorted(values[i] for i in tree.within(q, 2)) == sorted(v for v in values if (v ^ q).bit_count() <= 2)
 
 
-def test_keep_one_each(docs_of):
-    docs = docs_of(["one two three four", "One two three FOUR", "other words are here", "", " ", "x y z", "x y z"], [4, 2, 3, 9, 8, 7, 7])
-    kept = S.keep_one_each(docs)
-    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 7, 8] and kept.columns == docs.columns
-
-
 def test_hot_component(spark):
     edges = spark.createDataFrame([(0, i) for i in range(1, 200)] + [(1000 + i, 1001 + i) for i in range(64)] + [(5, 5), (None, 3)], "src bigint, dst bigint")
     got = {r.id: r.root for r in S.components(edges).collect()}
     assert len(got) == 265 and all(got[i] == 0 for i in range(200)) and all(got[1000 + i] == 1000 for i in range(65))
+
+
+def test_trees_answer_as_brute_force():
+    import pyarrow as pa
+
+    members = [(k, v - 2**64 if v >> 63 else v) for k in (1, 2) for v in sorted({R.getrandbits(7) | R.getrandbits(1) << 63 for _ in range(80)})]
+    trees = S.shard_trees(pa.table({"key": [k for k, _ in members], "fp": [v for _, v in members]}))
+    for key, fp in members:
+        near = {trees[key].values[i] for i in trees[key].within(fp % 2**64, 2)}
+        assert near == {v % 2**64 for k, v in members if k == key and ((v ^ fp) % 2**64).bit_count() <= 2}
