@@ -50,19 +50,14 @@ def _least(parts: list[Column]) -> Column:
 def windows(rows: DataFrame, keys: list[str], window: int, gram: int, sizes: list[int]) -> DataFrame:
     """(keys, words, at, n, fp) for every window of every length in ``sizes``; rows have keys and words.
     Windows shorter than ``window`` are one gram each."""
-    hashed = rows.select(*keys, "words", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    none = F.array().cast("array<struct<at:int,n:int>>")
-
-    def starts(n: int) -> Column:
-        every = F.transform(F.sequence(F.lit(0), F.size("h") - F.lit(n)), lambda at: F.struct(at.alias("at"), F.lit(n).alias("n")))
-        return F.when(F.size("h") >= n, every).otherwise(none)
-
-    placed = hashed.select(*keys, "words", "h", F.explode(F.concat(*map(starts, sizes))).alias("p")).select(*keys, "words", "h", "p.at", "p.n")
-    fp = _least([_gram(F.col("h"), F.col("at") + F.lit(t), gram) for t in range(window - gram + 1)])
-    for n in sizes:
-        if n < window:
-            fp = F.when(F.col("n") == n, _gram(F.col("h"), F.col("at"), n)).otherwise(fp)
-    return placed.select(*keys, "words", "at", "n", fp.alias("fp"))
+    hashed = rows.where(F.size("words") >= min(sizes)).select(*keys, "words", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    placed = hashed.select(*keys, "words", "h", F.explode(F.sequence(F.lit(0), F.size("h") - F.lit(min(sizes)))).alias("at"))
+    least = _least([_gram(F.col("h"), F.col("at") + F.lit(t), gram) for t in range(window - gram + 1)])
+    prints = [F.struct(F.lit(n).alias("n"), (least if n == window else _gram(F.col("h"), F.col("at"), n)).alias("fp")) for n in sizes]
+    if len(sizes) == 1:
+        return placed.select(*keys, "words", "at", F.lit(window).alias("n"), least.alias("fp"))
+    each = placed.select(*keys, "words", "at", F.size("h").alias("size"), F.inline(F.array(*prints)))
+    return each.where("at + n <= size").drop("size")
 
 
 def _text(n: Column) -> Column:
