@@ -22,3 +22,9 @@ LAG_RESERVOIR_DROP = 5_000
 FRESHNESS_MINUTES = 5
 #: (warn, error) minutes after which a source is stale.
 SOURCE_FRESHNESS = {"trades": (5, 60), "l2": (5, 60), "heartbeat": (2, 10)}
+#: Tries of a message before it goes to the dead letters.
+DELIVERY_ATTEMPTS = 5
+#: A lake file is closed at this size or age.
+LAKE_FILE_BYTES, LAKE_FILE_SECONDS = 64 * 1024 * 1024, 300
+#: Waits between pages of the trades endpoint, and rows of a page at most.
+PAGE_WAIT_SECONDS, PAGE_ROWS = 0.15, 1000

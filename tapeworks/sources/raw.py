@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
 from tapeworks import config, schemas
 from tapeworks.functions.timing import arrived_since
@@ -20,11 +20,21 @@ def scan_raw(spark: SparkSession, path: str, channel: str, as_of, days: int | No
 
 def scan_lake(spark: SparkSession, path: str, channel: str, first_day: str, last_day: str) -> DataFrame:
     """Raw rows decoded from the lake's envelopes of the days given; only their folders are read."""
-    rows = spark.read.schema(schemas.ENVELOPE).parquet(path).where(F.col("dt").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
+    return _decoded(spark.read.schema(schemas.ENVELOPE).parquet(path).where(F.col("dt").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))), channel)
+
+
+def _decoded(rows: DataFrame, channel: str) -> DataFrame:
     body = F.from_json(F.decode("data", "UTF-8"), schemas.CHANNELS[channel]).alias("body")
     return rows.select(body, "subscription_name", "message_id", "publish_time", "attributes").select("body.*", "subscription_name", "message_id", "publish_time", "attributes").to(schemas.RAW[channel])
 
 
+def scan_avro_lake(spark: SparkSession, path: str, channel: str, first_day: str, last_day: str) -> DataFrame:
+    """The same from a lake of Avro containers."""
+    from tapeworks.sources.avro import read_envelopes
+
+    return _decoded(read_envelopes(spark, path, first_day, last_day), channel)
+
+
 def read_products(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.DIM_PRODUCTS).csv(path, header=True)
 
@@ -48,33 +58,84 @@ def stream_messages(spark: SparkSession, path: str, channel: str = "trades", max
     return reader.json(path)
 
 
+class _BusReader(SimpleDataSourceStreamReader):
+    def __init__(self, pull: Callable, fields: list[str], most: int) -> None:
+        self.pull, self.fields, self.most = pull, fields, most
+
+    def _rows(self, messages: list[dict]) -> Iterator[tuple]:
+        return iter([tuple(m.get(f) for f in self.fields) for m in messages])
+
+    def initialOffset(self) -> dict:
+        return {"at": 0}
+
+    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
+        found = self.pull(start["at"], start["at"] + self.most)
+        return self._rows(found), {"at": start["at"] + len(found)}
+
+    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
+        return self._rows(self.pull(start["at"], end["at"]))
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
+def bus(pull: Callable[[int, int], list[dict]], channel: str = "trades") -> type[DataSource]:
+    """A stream over a bus that can be read again: ``pull(from, to)`` gives the messages at these positions,
+    as many as there are. A query that starts anew from its checkpoint asks for the same ones, so
+    each is processed once whatever breaks. Register it with ``spark.dataSource.register``; the option
+    ``most`` bounds a batch."""
+
+    class Bus(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return f"bus_{channel}"
+
+        def schema(self):
+            return schemas.CHANNELS[channel]
+
+        def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
+            return _BusReader(pull, schemas.CHANNELS[channel].names, int(self.options.get("most", 1000)))
+
+    return Bus
+
+
 class _PagePart(InputPartition):
-    pass
+    def __init__(self, after: int, before: int) -> None:
+        super().__init__(None)
+        self.after, self.before = after, before
 
 
 class _PageReader(DataSourceReader):
-    def __init__(self, fetch: Callable, after: int, before: int) -> None:
-        self.fetch, self.after, self.before = fetch, after, before
+    def __init__(self, fetch: Callable, after: int, before: int, parts: int, wait: float) -> None:
+        self.fetch, self.after, self.before, self.parts, self.wait = fetch, after, before, parts, wait
 
     def partitions(self) -> list[InputPartition]:
-        return [_PagePart(0)]
+        """Ranges of ids, each paged by a task of its own."""
+        width = max(1, -(-(self.before - self.after - 1) // self.parts))
+        return [_PagePart(at, min(at + width + 1, self.before)) for at in range(self.after, max(self.after + 1, self.before - 1), width)]
+
+    def read(self, partition: _PagePart) -> Iterator[tuple]:
+        """Newest first, page by page, until the cursor passes the range or a page is empty; so long between
+        two pages that all tasks together ask no oftener than once in ``wait`` seconds."""
+        import time
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        """Newest first, page by page, until the cursor passes ``after`` or a page is empty."""
-        cursor = self.before
-        while cursor > self.after:
+        cursor = partition.before
+        while cursor > partition.after + 1:
             page = self.fetch(cursor)
             if not page:
                 return
             for row in page:
-                if self.after < row["trade_id"] < self.before:
+                if partition.after < row["trade_id"] < partition.before:
                     yield row["trade_id"], row["price"], row["size"], row["side"], row["time"]
             cursor = min(row["trade_id"] for row in page)
+            if cursor > partition.after + 1:
+                time.sleep(self.wait * self.parts)
 
 
 def paged_trades(fetch: Callable[[int], list[dict]]) -> type[DataSource]:
     """A data source over a paginated trades endpoint. ``fetch(before_id)`` returns a page, newest
-    first. Register it with ``spark.dataSource.register`` and give options ``after``, ``before``."""
+    first. Register it with ``spark.dataSource.register`` and give options ``after``, ``before``, and
+    ``parts`` (tasks) and ``wait`` (seconds between pages) where the defaults don't do."""
 
     class PagedTrades(DataSource):
         @classmethod
@@ -85,6 +146,17 @@ def paged_trades(fetch: Callable[[int], list[dict]]) -> type[DataSource]:
             return "trade_id bigint, price string, size string, side string, time string"
 
         def reader(self, schema) -> DataSourceReader:
-            return _PageReader(fetch, int(self.options["after"]), int(self.options["before"]))
+            return _PageReader(fetch, int(self.options["after"]), int(self.options["before"]), int(self.options.get("parts", 1)), float(self.options.get("wait", config.PAGE_WAIT_SECONDS)))
 
     return PagedTrades
+
+
+def fetch_page(endpoint: str, product: str, before: int, rows: int = config.PAGE_ROWS, open_url: Callable | None = None) -> list[dict]:
+    """One page of a product's trades with ids below ``before``, newest first, from a JSON endpoint."""
+    import json
+    from urllib.parse import urlencode
+    from urllib.request import Request, urlopen
+
+    address = f"{endpoint.rstrip('/')}/products/{product}/trades?" + urlencode({"limit": rows, "after": before})
+    with (open_url or urlopen)(Request(address, headers={"User-Agent": "tapeworks"})) as answer:
+        return json.load(answer)

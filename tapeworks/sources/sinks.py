@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,15 +18,27 @@ class ContractError(ValueError):
 
 
 def check_contract(df: DataFrame, name: str) -> DataFrame:
-    """Names, order and types must be the declared ones, and required columns never null."""
+    """``df`` with the declared names, order and types, whose required columns fail the job that
+    meets a null: the check runs within the write, before anything is committed."""
     schema, required = schemas.contract(name)
     have, want = [(f.name, f.dataType.simpleString()) for f in df.schema], [(f.name, f.dataType.simpleString()) for f in schema]
     if have != want:
         raise ContractError(f"{name}: schema is {sorted(set(have) - set(want))}, declared is {sorted(set(want) - set(have))}")
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first().asDict()
-    if bad := {c: n for c, n in counts.items() if n}:
-        raise ContractError(f"{name}: nulls in {bad}")
-    return df
+    never = {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"{_NULL}{name}: nulls in {c}")).cast(schema[c].dataType)) for c in required}
+    return df.withColumns(never)
+
+
+_NULL = "contract of "
+
+
+def _keeping_contract(write: Callable[[], None]) -> None:
+    """Run a write; a null that the contract forbids is a ContractError."""
+    try:
+        write()
+    except Exception as e:
+        if (at := str(e).find(_NULL)) >= 0:
+            raise ContractError(str(e)[at + len(_NULL) :].splitlines()[0]) from None
+        raise
 
 
 def fail_on_schema_change(df: DataFrame, path: str) -> None:
@@ -45,9 +58,11 @@ def write_incremental(df: DataFrame, path: str, as_of, lookback: int | None = co
     if lookback is not None:
         df = df.where(within_lookback(F.col(partition), F.lit(as_of).cast("timestamp"), lookback))
     if contract:
-        check_contract(df, contract)
+        df = check_contract(df, contract)
     fail_on_schema_change(df, path)
-    df.repartition(partition).sortWithinPartitions(order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    # a day goes to as many tasks as its size asks for
+    dealt = df.hint("rebalance", partition).sortWithinPartitions(partition, order)
+    _keeping_contract(lambda: dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
 
 
 def rebuild(df: DataFrame, path: str) -> None:
@@ -90,3 +105,35 @@ def layer_path(root: str, layer: str, env: str) -> str:
 def expired_days(days: list[date], today: date, keep: int) -> list[date]:
     """Which day partitions are past retention."""
     return sorted(d for d in days if d < today - timedelta(days=keep))
+
+
+def expire(spark: SparkSession, path: str, today: date, keep: int, partition: str = "event_date", archive: str | None = None) -> list[date]:
+    """Delete the day folders of a table that are past retention, or move them to ``archive``, a cheaper
+    tier with a retention of its own. Returns the days that went."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join(parts))
+    files = folder(path).getFileSystem(conf)
+    if not files.exists(folder(path)):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder(path))]
+    days = {date.fromisoformat(n.partition("=")[2]): n for n in names if n.startswith(f"{partition}=") and not n.endswith("__HIVE_DEFAULT_PARTITION__")}
+    gone = expired_days(list(days), today, keep)
+    for day in gone:
+        if archive is None:
+            files.delete(folder(path, days[day]), True)
+        else:
+            files.mkdirs(folder(archive))
+            if not files.rename(folder(path, days[day]), folder(archive, days[day])):
+                raise OSError(f"{days[day]} could not be moved to {archive}")
+    return gone
+
+
+def quarantine(lines: DataFrame, path: str, schema: T.StructType, required: tuple[str, ...] = (), attempts: int = config.DELIVERY_ATTEMPTS) -> DataFrame:
+    """Valid rows of ``lines(value[, attempt])``. Dead letters, and valid ones that failed to be delivered
+    ``attempts`` times, are appended under ``path`` whole, with the reason."""
+    tries = F.col("attempt") if "attempt" in lines.columns else F.lit(1)
+    marked = lines.withColumn("_spent", tries > attempts)
+    good, bad = split_valid(marked.where(~F.col("_spent")), schema, required)
+    spent = marked.where("_spent").select("value", F.lit("attempts spent").alias("reason"))
+    bad.unionByName(spent).withColumn("dead_at", F.current_timestamp()).write.mode("append").parquet(path)
+    return good

@@ -61,25 +61,38 @@ def test_incremental_writes_are_idempotent(spark, tmp_path):
         sinks.write_incremental(facts(spark, rows).withColumn("more", F.lit(1)), path, NOON, 3)
 
 
-def test_contract(spark):
-    df = facts(spark, [raw_trade(1, 0)])
-    assert sinks.check_contract(df, "fct_trades") is df
-    with pytest.raises(sinks.ContractError, match="nulls"):
-        sinks.check_contract(facts(spark, [raw_trade(1, 0, side=None)]), "fct_trades")
+def test_contract(spark, tmp_path):
+    df, path = facts(spark, [raw_trade(1, 0)]), str(tmp_path / "t")
+    sinks.write_incremental(df, path, NOON, 3, "fct_trades")
+    # the write itself fails, and what was there stays
+    with pytest.raises(sinks.ContractError, match="nulls in side"):
+        sinks.write_incremental(facts(spark, [raw_trade(1, 0, side=None)]), path, NOON, 3, "fct_trades")
+    assert [r.side for r in spark.read.parquet(path).collect()] == ["buy"]
     with pytest.raises(sinks.ContractError, match="schema"):
         sinks.check_contract(df.withColumn("price", F.col("price").cast("double")), "fct_trades")
 
 
 def test_marts_run_twice(spark, tmp_path):
-    rows = [raw_trade(i, 60 * i, price=str(100 + i % 3)) for i in range(1, 40)]
-    models = marts.build(raw(spark, rows))
-    counts = marts.run(models, str(tmp_path), NOON + timedelta(hours=1))
-    again = marts.run(marts.build(raw(spark, rows)), str(tmp_path), NOON + timedelta(hours=1))
-    assert counts == again and not any(counts.values())
-    assert spark.read.parquet(f"{tmp_path}/marts/fct_trades").count() == 39
+    rows = [raw_trade(i, 60 * i, price=str(100 + i % 3), product=p, message_id=f"{p}{i}") for i in range(1, 40) for p in ("BTC-USD", "ETH-USD", "SOL-USD")]
+    dim = sources.inline_products(spark)
+    counts = marts.run({"trades_raw": raw(spark, rows)}, str(tmp_path), NOON + timedelta(hours=1), dim_products=dim)
+    again = marts.run({"trades_raw": raw(spark, rows)}, str(tmp_path), NOON + timedelta(hours=1), dim_products=dim)
+    assert counts == again and not any(counts.values()) and {"all_products_present", "products_are_known", "size_is_positive"} <= set(counts)
+    assert spark.read.parquet(f"{tmp_path}/marts/fct_trades").count() == 117
+    lazy = marts.build(raw(spark, rows))
+    for name in ("fct_bars_5m", "fct_realized_vol"):
+        stored = spark.read.parquet(f"{tmp_path}/marts/{name}").select(*lazy[name].columns)
+        assert lazy[name].exceptAll(stored).count() == 0 and stored.count() == lazy[name].count()
+    assert marts.run({"trades_raw": raw(spark, rows[:1])}, str(tmp_path / "one"), NOON + timedelta(hours=1))["all_products_present"] == 2
+
+
+def test_bad_data_stops_the_run_before_what_is_built_on_it(spark, tmp_path):
     broken = [raw_trade(1, -86400), raw_trade(9, -86400)]
-    with pytest.raises(ValueError, match="contiguous"):
-        marts.run(marts.build(raw(spark, broken)), str(tmp_path / "b"), NOON)
+    with pytest.raises(ValueError, match="contiguous.* on fct_trades"):
+        marts.run({"trades_raw": raw(spark, broken)}, str(tmp_path), NOON)
+    assert (tmp_path / "marts" / "fct_trades").exists() and not (tmp_path / "marts" / "fct_bars_1m").exists()
+    with pytest.raises(ValueError, match="products_are_known"):
+        marts.run({"trades_raw": raw(spark, [raw_trade(1, 0)])}, str(tmp_path / "b"), NOON, dim_products=sources.inline_products(spark, ("ETH-USD",)))
 
 
 def test_session_file_and_products(spark, tmp_path):
@@ -107,3 +120,101 @@ def test_paths_and_retention():
     assert sinks.layer_path("/r", "marts", "prod") == "/r/marts" and sinks.layer_path("/r", "marts", "ci") == "/r/ci"
     days = [date(2026, 5, d) for d in (1, 2, 20)]
     assert sinks.expired_days(days, date(2026, 5, 20), 14) == days[:2]
+
+
+def test_expired_days_go(spark, tmp_path):
+    rows = spark.createDataFrame([(i, date(2026, 5, d)) for i, d in enumerate((1, 2, 18, 20))], "id int, event_date date")
+    path, cold = str(tmp_path / "t"), str(tmp_path / "cold")
+    rows.write.partitionBy("event_date").parquet(path)
+    assert sinks.expire(spark, path, date(2026, 5, 20), 18, archive=cold) == [date(2026, 5, 1)]
+    assert sinks.expire(spark, path, date(2026, 5, 20), 14) == [date(2026, 5, 2)]
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3] and spark.read.parquet(cold).first().id == 0
+    assert sinks.expire(spark, path, date(2026, 5, 20), 14) == [] == sinks.expire(spark, str(tmp_path / "none"), date(2026, 5, 20), 1)
+
+
+def test_quarantine(spark, tmp_path):
+    lines = spark.createDataFrame([('{"product_id":"P","trade_id":1}', 1), ("{broken", 1), ('{"product_id":"P","trade_id":2}', 6)], "value string, attempt int")
+    good = sinks.quarantine(lines, str(tmp_path / "dead"), schemas.TRADES, ("product_id",))
+    assert [r.trade_id for r in good.collect()] == [1]
+    assert sorted(r.reason for r in spark.read.parquet(str(tmp_path / "dead")).collect()) == ["attempts spent", "not parsed"]
+
+
+def test_avro_lake_round_trip(spark, tmp_path):
+    from tapeworks.sources import avro
+
+    rows = raw(spark, [raw_trade(i, 40 * i) for i in range(30)] + [raw_trade(99, 86400)])
+    body = rows.select(F.lit("s").alias("subscription_name"), "message_id", "publish_time", F.encode(F.to_json(F.struct(*schemas.TRADES.names)), "UTF-8").alias("data")).coalesce(1)
+    files = avro.write_envelopes(body, f"file://{tmp_path}/lake")
+    # one file each 300 seconds of messages, and none over a day's end
+    assert len(files) == 5 and files[0].endswith("dt=2026-05-04/09_30_00_00000_00000.avro")
+    one = sources.scan_avro_lake(spark, f"file://{tmp_path}/lake", "trades", "2026-05-04", "2026-05-04")
+    assert sorted(r.trade_id for r in one.collect()) == list(range(30))
+    both = sources.scan_avro_lake(spark, f"file://{tmp_path}/lake", "trades", "2026-05-01", "2026-05-09")
+    assert staging.stage_trades(both).exceptAll(staging.stage_trades(rows)).count() == 0
+    small = avro.write_envelopes(body, f"file://{tmp_path}/small", most_bytes=2000, most_seconds=10**6)
+    assert len(small) > 3
+
+
+def test_avro_container():
+    from tapeworks.sources import avro
+
+    made = [("s", f"m{i}é", (-1) ** i * 10**i, bytes([i % 256]) * (i * 37), {"k": str(i)} if i % 2 else {}) for i in range(0, 16)] * 200
+    for codec in ("null", "deflate"):
+        c = avro.Container(codec)
+        for m in made:
+            c.add(*m)
+        data = c.bytes()
+        back = [tuple(e[k] for k in ("subscription_name", "message_id", "publish_time", "data", "attributes")) for e in avro.records(data)]
+        assert back == made
+        with pytest.raises(EOFError):
+            list(avro.records(data[:-20]))
+    with pytest.raises(ValueError, match="not an Avro"):
+        list(avro.records(b"PAR1" + data))
+    # a union, as other writers make them
+    r = avro.Reader(bytes([2, 6]) + b"abc")
+    assert r.value(["null", "string"]) == "abc" and avro.Reader(bytes([0])).value(["null", "string"]) is None
+
+
+def test_bus_is_read_once_over_restarts(spark, tmp_path):
+    held = [{"product_id": "P", "trade_id": i, "price": "1"} for i in range(25)]
+    spark.dataSource.register(sources.bus(lambda a, b: [{"product_id": "P", "trade_id": i, "price": "1"} for i in range(a, min(b, 25))]))
+    for _ in range(2):
+        stream = spark.readStream.format("bus_trades").option("most", 10).load()
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck")).start()
+        query.processAllAvailable()
+        query.stop()
+    assert sorted(r.trade_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [m["trade_id"] for m in held]
+
+
+def test_command_lines(spark, tmp_path):
+    from tapeworks import cli
+
+    table = str(tmp_path / "raw")
+    sinks.append_strict(raw(spark, [raw_trade(i, i) for i in (5, 6, 9, 14)]), table, "trades")
+    args = cli.parser().parse_args(["backfill", "--endpoint", "http://x", "--product", "BTC-USD", "--table", table, "--parts", "3"])
+
+    def fetch(before):
+        return [{"trade_id": i, "price": "1", "size": "1", "side": "buy", "time": "2026-05-04T09:30:00Z"} for i in range(before - 1, max(before - 4, 0), -1) if i != 11]
+
+    dry = cli.parser().parse_args(["backfill", "--endpoint", "http://x", "--product", "BTC-USD", "--table", table, "--dry-run"])
+    assert cli.run_backfill(spark, dry) == 6 and cli.run_backfill(spark, args, fetch, CLOCK) == 5
+    back = spark.read.parquet(table)
+    assert sorted(r.trade_id for r in back.where("sequence = 0").collect()) == [7, 8, 10, 12, 13] and cli.run_backfill(spark, args, fetch, CLOCK) == 0
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(json.dumps({"product_id": "P", "trade_id": i, "price": "2", "size": "1", "event_time": (NOON + timedelta(seconds=20 * i)).isoformat() + "Z"}) for i in range(8)))
+    run = cli.parser().parse_args(["bars", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "bars"), "--checkpoint", str(tmp_path / "ck"), "--drain", "--allowed-lateness-seconds", "5"])
+    cli.run_bars(spark, run)
+    assert sorted(r.trade_count for r in spark.read.schema(schemas.BARS_STREAM).parquet(str(tmp_path / "bars")).collect()) == [3, 3]
+
+
+def test_a_page_is_asked_for_by_its_address():
+    import io
+
+    asked = []
+
+    def open_url(request):
+        asked.append(request.full_url)
+        return io.BytesIO(b'[{"trade_id": 4}]')
+
+    assert sources.fetch_page("https://api.example/", "BTC-USD", 5, 100, open_url) == [{"trade_id": 4}]
+    assert asked == ["https://api.example/products/BTC-USD/trades?limit=100&after=5"]
