@@ -57,15 +57,30 @@ def _byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+#: Letters and numbers that are newer than the tokenizer's tables (Unicode 16), to which they are other
+#: signs. First and last of each range.
+_NEWER = (
+    "0558-0558 058B-058C 088F-088F 0C5C-0C5C 0CDC-0CDC 208F-208F 209D-209F A7CE-A7CF A7D2-A7D2 A7D4-A7D4 A7DD-A7DD A7E2-A7E2 A7F1-A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 "
+    "10ED9-10EEE 11B0A-11B0A 11DB0-11DDB 11DE0-11DE9 11DF1-11DF1 1246F-1246F 12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 "
+    "191A0-191D2 1B123-1B128 1B168-1B168 1D6A6-1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F "
+    "2B81E-2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+).split()
+#: Capitals of Unicode 16 and 17, which Python's own tables may lack, and their small letters. Fixed values.
+_CAPITALS = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B}
+_CAPITALS |= {c: c + 32 for c in range(0x10D50, 0x10D66)} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
+_FIRST_NEWER = chr(min(int(r.partition("-")[0], 16) for r in _NEWER))
+
+
 @lru_cache(maxsize=1)
 def _word_finder():
-    """Finds all words of a text. Letters first assigned in Unicode 17 are words to the regex
-    library and other signs to the tokenizer's own; that is the one known difference."""
+    """Finds all words of a text."""
     import regex
 
+    newer = "".join(f"\\U{a:0>8}-\\U{b:0>8}" for a, b in (r.split("-") for r in _NEWER))
     whole = regex.compile(rf"{_CONTRACTIONS}|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+").findall
+    exact = regex.compile(rf"(?V1){_CONTRACTIONS}|[\p{{L}}--[{newer}]]+|[\p{{N}}--[{newer}]]|(?:[{newer}]|[^{_SPACE}\p{{L}}\p{{N}}])+").findall
     ascii_only = regex.compile(rf"{_CONTRACTIONS}|[a-z]+|[0-9]|[^{_SPACE}a-z0-9]+").findall
-    return lambda text: ascii_only(text) if text.isascii() else whole(text)
+    return lambda text: ascii_only(text) if text.isascii() else whole(text) if max(text) < _FIRST_NEWER else exact(text)
 
 
 class _Memo(dict):
@@ -170,6 +185,8 @@ class Codec:
                 if not piece.isascii():
                     # lower case sign by sign: no final sigma
                     piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
+                    if max(piece, default="") >= _FIRST_NEWER:
+                        piece = piece.translate(_CAPITALS)
                 yield list(chain.from_iterable(map(self.words.__getitem__, self.find_words(piece.lower()))))
 
     def encode(self, text: str | None) -> list[int]:

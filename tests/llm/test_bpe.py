@@ -34,6 +34,16 @@ def test_any_text(text):
     assert c.encode(text) == t.encode(text, add_special_tokens=False).ids
 
 
+def test_every_code_point(pair):
+    """Letters, numbers, spaces and capitals of all of Unicode are the tokenizer's own."""
+    c, t = pair
+    texts = [f"a{chr(x)}a {chr(x)}{chr(x)} 1{chr(x)}" for x in range(0x110000) if not 0xD800 <= x < 0xE000]
+    for at in range(0, len(texts), 50_000):
+        part = texts[at : at + 50_000]
+        wrong = [s for s, found in zip(part, t.encode_batch(part, add_special_tokens=False), strict=True) if c.encode(s) != found.ids]
+        assert not wrong
+
+
 def _loaded(found=[]):  # noqa: B006
     if not found:
         path = bpe.default_vocab()
