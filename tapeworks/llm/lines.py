@@ -202,9 +202,13 @@ def _class_links(docs: DataFrame, least: int, below: int | None, edits: int) ->
     size = F.char_length("line")
     inside = (size >= least) if below is None else size.between(least, below - 1 + edits)
     level = occurrences(docs, with_text=True).where(inside).select("id", "line")
+    if below is not None:
+        # short lines are little text: they are written once, one of each
+        level = cut(level.groupBy("id").agg(F.min("line").alias("line")), "short-lines")
     entries = signatures(level, edits).select("id", "sig", "own")
     shared = cut(_shared(entries), "shared")
-    texts = _texts(docs, shared.select("id").distinct())
+    wanted = shared.select("id").distinct()
+    texts = _texts(docs, wanted) if below is None else level.join(wanted, "id", "left_semi")
     one, two = _parities(F.col("line"))
     lines = cut(texts.select("id", "line", one.alias("one"), two.alias("two")), "line-parities")
     marks = lines.select("id", "one", "two")
