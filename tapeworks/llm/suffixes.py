@@ -45,8 +45,9 @@ SPAN = 100
 GRAM = 32
 _REACH = SPAN - GRAM
 _SHALLOW = 16
-#: Contexts of one anchor, and windows of one name, that one task compares.
-HOT = 2000
+#: Contexts of one anchor (136 bytes each), and windows of one name, that one task compares: well under a second's work.
+#: Beyond it a context costs up to 69 rows, so the bound is no lower than it must be.
+HOT = 20_000
 BROADCAST_NAMES = 1_000_000
 _CHUNK = 1 << 23
 #: Bytes of text whose anchors a task combines before it sends them.
