@@ -1,11 +1,14 @@
 import hashlib
+import math
 import random
 import re
 import string
 
 import duckdb
+from pyspark.sql import functions as F
 
 from conftest import ODD
+from tapeworks.llm import secrets
 from tapeworks.llm.secrets import scan
 
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
@@ -58,3 +61,85 @@ def test_random_keys_are_found_and_words_are_not(docs_of):
         texts.append(" ".join(words))
     rows = {r.doc_id: r for r in scan(docs_of(texts)).collect()}
     assert sum(rows[i].n_random > 0 for i in range(0, 600, 3)) >= 180 and sum(rows[i].n_random > 0 for i in range(600) if i % 3) <= 2
+
+
+def tail(z):
+    return 0.5 * math.erfc(z / math.sqrt(2))
+
+
+def fisher(ps):
+    x = -2 * sum(math.log(max(p, 1e-300)) for p in ps)
+    return min(1.0, math.exp(-x / 2) * sum((x / 2) ** i / math.factorial(i) for i in range(len(ps))))
+
+
+def unlike_text(t):
+    n = len(t)
+    pairs, same = n * (n - 1) / 2, sum(t.count(c) * (t.count(c) - 1) / 2 for c in set(t))
+    tau, cubes, rate = secrets.TEXT_PAIRS, secrets.TEXT_CUBES, secrets.TEXT_CHANGES
+    few = (pairs * tau - 0.5 - same) / math.sqrt(pairs * (tau - tau**2) + n * (n - 1) * (n - 2) * (cubes - tau**2))
+    kind = lambda c: "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "_"
+    changes = sum(kind(a) != kind(b) for a, b in zip(t, t[1:], strict=False))
+    return fisher([tail(few), tail((changes - 0.5 - rate * (n - 1)) / math.sqrt((n - 1) * rate * (1 - rate)))])
+
+
+def like_key(t):
+    """The battery's p-value, from its definition."""
+    n = len(t)
+    size, high = (16, "89abcdefABCDEF") if re.fullmatch("[0-9a-f]+|[0-9A-F]+", t) else (32, "QRSTUVWXYZ234567") if re.fullmatch("[A-Z2-7]+=*", t) else (64, "ghijklmnopqrstuvwxyz0123456789+/_-")
+    chi = size * sum(t.count(c) ** 2 for c in set(t)) / n - n
+    p_chi = tail((chi - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n))
+    upper = [c in high for c in t]
+    ones = sum(upper)
+    mean = 2 * ones * (n - ones) / n
+    changes = sum(a != b for a, b in zip(upper, upper[1:], strict=False))
+    runs = (changes - mean) / math.sqrt(mean * (mean - 1) / (n - 1)) if mean * (mean - 1) > 0 else 9
+    codes = [ord(c) - sum(map(ord, t)) / n for c in t]
+    power = sum(c * c for c in codes)
+    serial = math.sqrt(n) * (sum(a * b for a, b in zip(codes, codes[1:], strict=False)) / power + 1 / n) if power else 9
+    return fisher([p_chi, 2 * tail(abs(runs)), 2 * tail(abs(serial))])
+
+
+def test_p_values_are_those_of_their_definitions(spark):
+    rng = random.Random(7)
+    tokens = ["".join(rng.choice(a) for _ in range(rng.randint(16, 80))) for a in (string.ascii_letters + string.digits, "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "aaab1", string.ascii_letters + "_") for _ in range(25)]
+    rows = spark.createDataFrame([(t,) for t in tokens], "t string").select("t", secrets.battery(F.col("t")).alias("key"), secrets.unlike_text(F.col("t")).alias("text")).collect()
+    for r in rows:
+        assert math.isclose(r.text, unlike_text(r.t), rel_tol=1e-2, abs_tol=1e-9) and math.isclose(r.key, like_key(r.t), rel_tol=1e-2, abs_tol=1e-6)
+
+
+def test_border_is_that_of_benjamini_and_hochberg(spark):
+    rng = random.Random(8)
+    for share in (0.0, 0.05, 0.5):
+        levels = [10 ** -rng.uniform(3, 12) if rng.random() < share else rng.random() for _ in range(2000)]
+        bins = [int(-math.log10(p) * secrets._PARTS) for p in levels]
+        edge = lambda b: 10 ** (-b / secrets._PARTS)
+        fits = [b for b in set(bins) if edge(b) * len(bins) <= 0.01 * sum(x >= b for x in bins)]
+        found = secrets.borders(spark.createDataFrame([(b,) for b in bins], "bin int"), 0.01).collect()
+        assert [r.border for r in found] == ([min(fits)] if fits else [])
+
+
+def test_one_key_is_found_in_a_table_of_any_size(docs_of):
+    """Whether a key is reported does not hang on how many other tokens there are to compare with."""
+    key = "q7Zt9Xv2Lk4Rw8Bn1Mc6Hs3Jd5Fg0Pa"
+    for extra in ([], ["plain words and nothing else here"] * 50, ["some_long_variable_name_2 andAnotherCamelCaseName17 " * 3] * 400):
+        rows = {r.doc_id: r for r in scan(docs_of([f"value {key} end", *extra])).collect()}
+        assert rows[0].n_random == 1 and rows[0].spans == f"random:6:{6 + len(key)}" and not any(r.n_random for i, r in rows.items() if i)
+    rng = random.Random(21)
+    letters = ["".join(rng.choice(string.ascii_letters) for _ in range(36)) for _ in range(40)]
+    assert sum(r.n_random for r in scan(docs_of([f"value {key} end" for key in letters])).collect()) >= 36
+
+
+def test_written_names_are_not_reported(docs_of):
+    rng = random.Random(9)
+    words = "user profile image content type default value request handler session manager version update index config buffer stream widget layout".split()
+    names = []
+    for _ in range(4000):
+        w = [rng.choice(words) for _ in range(rng.randint(3, 6))]
+        names.append(rng.choice(["_".join(w) + str(rng.randint(1, 999)), w[0] + "".join(x.title() for x in w[1:]), "-".join(w) + "-2024", "".join(x.title() for x in w) + "V2"]))
+    rows = scan(docs_of([" ".join(names[i : i + 40]) for i in range(0, 4000, 40)])).collect()
+    assert sum(r.n_random for r in rows) == 0
+
+
+def test_other_column_names(spark):
+    rows = scan(spark.createDataFrame([(1, "token=abcdefghijklmnop", "x")], "id bigint, body string, text string"), id_col="id", text_col="body").collect()
+    assert [(r.doc_id, r.n_assign) for r in rows] == [(1, 1)]
