@@ -194,11 +194,11 @@ def top_of_book_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT product_id, bar_start, ln(c::DOUBLE / lag(c) OVER (PARTITION BY product_id ORDER BY bar_start)) AS r, ln(h::DOUBLE / l) AS hl, ln(c::DOUBLE / o) AS co FROM bars)
 SELECT product_id, cast(floor(bar_start / 86400) * 86400 AS BIGINT) AS window_start, cast(floor(bar_start / 86400) * 86400 AS BIGINT) + 86400 AS window_end, count(*) AS bar_count,
   round(stddev_samp(r), 6) AS vol_close_to_close, round(sqrt(avg(hl * hl) / (4 * ln(2))), 6) AS vol_parkinson,
-  round(sqrt(greatest(avg(0.5 * hl * hl - (2 * ln(2) - 1) * co * co), 0)), 6) AS vol_garman_klass
+  round(sqrt(greatest(avg(0.5 * hl * hl - (2 * ln(2) - 1) * co * co), 0)), 6) AS vol_garman_klass, round(stddev_samp(r) * sqrt(365), 6) AS vol_close_to_close_annualised, round(sqrt(avg(hl * hl) / (4 * ln(2))) * sqrt(365), 6) AS vol_parkinson_annualised
 FROM r GROUP BY 1, 2, 3""")
 def realized_vol_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = volatility.realized_vol(_hourly(spark, sf_dir), DAY)
-    return plain(found, "product_id", "window_start", "window_end", "bar_count", "vol_close_to_close", "vol_parkinson", "vol_garman_klass")
+    found = volatility.realized_vol(_hourly(spark, sf_dir), DAY, per_year=365)
+    return plain(found, "product_id", "window_start", "window_end", "bar_count", "vol_close_to_close", "vol_parkinson", "vol_garman_klass", "vol_close_to_close_annualised", "vol_parkinson_annualised")
 
 
 @query(f"""WITH {TAPE_SQL}, h AS (

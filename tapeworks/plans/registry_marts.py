@@ -60,6 +60,16 @@ def type_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.groupBy("product_id").agg(F.count(F.lit(1)).alias("typed_rows"), (F.count(F.lit(1)) - F.count_distinct("trade_id")).alias("copies"), F.count_if(F.col("maker_order_id").isNull()).alias("without_maker"))
 
 
+@query(f"""WITH {TAPE_SQL}, h AS (SELECT product_id, cast(floor(epoch(ts) / 3600) * 3600 AS BIGINT) AS event_hour, count(*) AS n, min(trade_id) AS a, max(trade_id) AS b, count(*) FILTER (WHERE k % 7 = 0) AS copies, count(*) FILTER (WHERE is_backfilled) AS bf
+  FROM tape WHERE product_id IN ({_FOLLOWED_SQL}) AND trade_id % 500 <> 1 GROUP BY 1, 2)
+SELECT product_id, event_hour, n AS trades_received, b - a + 1 AS trades_expected, b - a + 1 - n AS trades_missing, copies AS duplicates_removed, bf AS backfilled_trades FROM h""")
+def data_quality_of_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of staged trades, with the copies that staging dropped counted before it did."""
+    raw = _trades_raw(spark, sf_dir)
+    found = quality.data_quality(staging.stage_trades(raw, FOLLOWED), staging.type_trades(raw, FOLLOWED))
+    return plain(found, *"product_id event_hour trades_received trades_expected trades_missing duplicates_removed backfilled_trades".split())
+
+
 @query(f"""WITH {TAPE_SQL} SELECT product_id, sequence, trade_id + 3 AS last_trade_id, lag_ms AS ingest_lag_ms, epoch(date_trunc('minute', ts))::BIGINT AS event_minute, strftime(ts, '%Y-%m-%d') AS event_date
 FROM tape WHERE product_id IN ({_FOLLOWED_SQL})""")
 def type_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
