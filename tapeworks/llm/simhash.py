@@ -249,8 +249,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     placed = nodes.join(groups, nodes["fp"] == groups["id"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = cut(placed.join(smallest, "root").select("fp", "component_id"), "component-ids")
-    few = ids.count() <= BROADCAST_IDS
-    return marked.join(F.broadcast(ids) if few else ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    # ids grow with the corpus, so they are joined by the shuffle; rows of a hot fingerprint are 16 bytes each, and split
+    # where they are too many
+    return marked.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
