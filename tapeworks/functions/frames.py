@@ -37,10 +37,11 @@ def neighbour(rows: DataFrame, keys: list[str], order: Column, cell: Column, val
     return marked.withColumn(name, F.coalesce(inside, F.col("_border"))["v"]).drop("_cell", "_border")
 
 
-def running(rows: DataFrame, keys: list[str], order: Column, cell: Column, value: Column, name: str, how: str = "sum") -> DataFrame:
-    """``rows`` with the running sum or max of ``value``, ties of ``order`` included."""
+def running(rows: DataFrame, keys: list[str], order: Column, cell: Column, value: Column, name: str, how: str = "sum", before: bool = False) -> DataFrame:
+    """``rows`` with the running sum or max of ``value``, ties of ``order`` included; or, with ``before``,
+    that of the rows before each, where ``order`` has no ties."""
     total, join = {"sum": (F.sum, lambda a, b: F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)), "max": (F.max, F.greatest)}[how]
-    before = lambda s, w: total(s).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = _bordered(rows, keys, cell, total(value), before)
-    inside = total(value).over(Window.partitionBy(*keys, "_cell").orderBy(order))
-    return marked.withColumn(name, join(F.col("_border"), inside)).drop("_cell", "_border")
+    until = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    marked = _bordered(rows, keys, cell, total(value), lambda s, w: total(s).over(until(w)))
+    inside = Window.partitionBy(*keys, "_cell").orderBy(order)
+    return marked.withColumn(name, join(F.col("_border"), total(value).over(until(inside) if before else inside))).drop("_cell", "_border")

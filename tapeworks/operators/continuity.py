@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tapeworks.functions.frames import running
+
 DISCONNECT = "__disconnect__"
 TRADE_TYPES = ("match", "last_match")
 
 
+#: Messages of one cell of a connection's order; an order is dealt to as many tasks as it has cells.
+CELL = 100_000
+
+
+def _cell(order: str):
+    return F.floor(F.col(order) / CELL)
+
+
 def with_epochs(messages: DataFrame, order: str = "line_no", connection: str | None = None) -> DataFrame:
-    """Number of disconnects before each message. A connection's messages come in one order, so
-    one window per connection; without that column there is one connection."""
-    part = Window.partitionBy(connection if connection else F.lit(0)).orderBy(order)
-    return messages.withColumn("epoch", F.sum(F.when(F.col("type") == DISCONNECT, 1).otherwise(0)).over(part))
+    """Number of disconnects before each message. A connection's messages come in one order, which
+    ``order`` numbers; without that column there is one connection."""
+    cuts = F.when(F.col("type") == DISCONNECT, 1).otherwise(0)
+    return running(messages, [connection] if connection else [], F.col(order), _cell(order), cuts, "epoch")
 
 
 def classify(messages: DataFrame, order: str = "line_no") -> DataFrame:
@@ -23,15 +33,17 @@ def classify(messages: DataFrame, order: str = "line_no") -> DataFrame:
     which stays). A heartbeat ahead of the highest id seen is HEARTBEAT_GAP and raises it; a
     heartbeat before the first trade of its epoch says nothing.
     """
-    w = Window.partitionBy("product_id", "epoch").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    is_trade = F.col("type").isin(*TRADE_TYPES)
-    rows = messages.where(is_trade | (F.col("type") == "heartbeat")).withColumn("started", F.coalesce(F.max(is_trade).over(w), F.lit(False)))
-    rows = rows.withColumn("value", F.when(is_trade, F.col("trade_id")).when(F.col("started"), F.coalesce("last_trade_id", F.lit(0)))).withColumn("seen", F.max("value").over(w))
+    keys, is_trade = ["product_id", "epoch"], F.col("type").isin(*TRADE_TYPES)
+    rows = messages.where(is_trade | (F.col("type") == "heartbeat"))
+    # the first trade of an epoch is one row for each: it starts the counting
+    starts = rows.where(is_trade).groupBy(*keys).agg(F.min(order).alias("_start"))
+    rows = rows.join(starts, keys, "left").withColumn("value", F.when(is_trade, F.col("trade_id")).when(F.col(order) > F.col("_start"), F.coalesce("last_trade_id", F.lit(0)))).drop("_start")
+    rows = running(rows, keys, F.col(order), _cell(order), F.col("value"), "seen", "max", before=True)
     step = F.col("value") - F.col("seen")
     trade = F.when(F.col("seen").isNull(), "FIRST").when(step == 1, "IN_ORDER").when(step > 1, "GAP").otherwise("DUPLICATE")
     verdict = F.when(is_trade, trade).when(step > 0, "HEARTBEAT_GAP").otherwise("HEARTBEAT_OK")
     missing = F.when(is_trade & (step > 1), step - 1).when(~is_trade & (step > 0), step).otherwise(0)
-    return rows.withColumns({"continuity": verdict, "missing": missing}).drop("started", "value")
+    return rows.withColumns({"continuity": verdict, "missing": missing}).drop("value")
 
 
 def counters(classified: DataFrame) -> DataFrame:
