@@ -27,4 +27,7 @@ DELIVERY_ATTEMPTS = 5
 #: A lake file is closed at this size or age.
 LAKE_FILE_BYTES, LAKE_FILE_SECONDS = 64 * 1024 * 1024, 300
 #: Waits between pages of the trades endpoint, and rows of a page at most.
-PAGE_WAIT_SECONDS, PAGE_ROWS = 0.15, 1000
+PAGE_WAIT_SECONDS, PAGE_ROWS = 0.2, 1000
+#: Days that raw tables and the locked lake are kept, by environment, and after which lake files go to a cheaper tier.
+RAW_DAYS, LAKE_LOCK_DAYS = {"dev": 14, "prod": 90}, {"dev": 7, "prod": 90}
+NEARLINE_DAYS, COLDLINE_DAYS = 30, 90

@@ -54,3 +54,11 @@ def contract(name: str) -> tuple[T.StructType, list[str]]:
     schema = _struct(ddl.replace(" !", ""))
     required = [part.split()[0] for part in ddl.replace("decimal(38,9)", "decimal").split(",") if "!" in part]
     return schema, required
+
+
+def versioned_name(channel: str) -> str:
+    """A name that changes with the channel's schema, which itself never changes: channel and the first
+    eight signs of the schema's digest."""
+    from hashlib import md5
+
+    return f"{channel}-{md5(CHANNELS[channel].json().encode()).hexdigest()[:8]}"

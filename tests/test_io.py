@@ -218,3 +218,12 @@ def test_a_page_is_asked_for_by_its_address():
 
     assert sources.fetch_page("https://api.example/", "BTC-USD", 5, 100, open_url) == [{"trade_id": 4}]
     assert asked == ["https://api.example/products/BTC-USD/trades?limit=100&after=5"]
+
+
+def test_lineage(spark):
+    from tapeworks.plans.lineage import lineage
+
+    empty = {"trades_raw": spark.createDataFrame([], schemas.RAW["trades"]), "l2_raw": spark.createDataFrame([], schemas.RAW["l2"]), "panes": spark.createDataFrame([], schemas.BARS_STREAM)}
+    found = lineage(empty)
+    assert found["trades_raw"].key == ("raw", "trades_stream") and found["int_book_state_1m"].group == "intermediate" and found["fct_bars_1m"].group == "marts"
+    assert found["fct_stream_batch_recon"].upstream == (("raw", "bars_1m_stream"), ("fct_bars_1m",)) and found["fct_data_quality"].upstream == (("fct_trades",), ("raw", "trades_stream"))
