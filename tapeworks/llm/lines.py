@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tapeworks.llm.common import bound, components, cut, table
+from tapeworks.llm.common import bound, components, cut, drop_cut, table
 
 #: (least length of the shorter line, edits): about a tenth of it, and at most two.
 CLASSES = ((10, 1), (20, 2))
@@ -207,6 +207,7 @@ def _class_links(docs: DataFrame, least: int, below: int | None, edits: int) ->
         level = cut(level.groupBy("id").agg(F.min("line").alias("line")), "short-lines")
     entries = signatures(level, edits).select("id", "sig", "own")
     shared = cut(_shared(entries), "shared")
+    spent = [shared]  # tables that nothing reads once the candidates are written
     wanted = shared.select("id").distinct()
     texts = _texts(docs, wanted) if below is None else level.join(wanted, "id", "left_semi")
     one, two = _parities(F.col("line"))
@@ -218,6 +219,7 @@ def _class_links(docs: DataFrame, least: int, below: int | None, edits: int) ->
             entries = signatures(level, edits, "first", ("id", "first", "first_own")).select("id", "sig", (F.col("first_own") & F.col("own")).alias("own"))
             shared = _shared(entries)
         shared = cut(shared.join(marks, "id"), "shared-marked")
+        spent.append(shared)
         crowded = cut(shared.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select("sig"), "crowded")
         last = division == DIVISIONS or not crowded.limit(1).count()
         if not last:
@@ -227,6 +229,7 @@ def _class_links(docs: DataFrame, least: int, below: int | None, edits: int) ->
             rest = F.concat(F.left("line", F.col("at") - 1), F.substring(F.col("line"), F.col("at") + F.col("width"), F.char_length("line")))
             own = F.col("own") & F.col("first_own") if division else F.col("own")
             level = cut(parts.select("id", own.alias("first_own"), F.col("sig").alias("first"), rest.alias("line")), "line-rests")
+            spent.append(level)
             # what is too short for as many segments stays as it is
             crowded = cut(level.groupBy(F.col("first").alias("sig")).agg(F.min(F.char_length("line")).alias("size")).where(F.col("size") > edits).select("sig"), "divided")
             level = level.join(crowded.withColumnRenamed("sig", "first"), "first", "left_semi")
@@ -235,6 +238,8 @@ def _class_links(docs: DataFrame, least: int, below: int | None, edits: int) ->
         if last:
             break
     candidates = cut(candidates.distinct(), "line-candidates")
+    for written in spent:
+        drop_cut(written)
     both = candidates.join(lines.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a").join(lines.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
     if below is not None:
         both = both.where(F.least(F.char_length("line_a"), F.char_length("line_b")) < below)
