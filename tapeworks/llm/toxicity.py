@@ -83,12 +83,6 @@ class _Known:
         self.whole = {t: k for t, k in terms.items() if t[-1] != "*"}.get
         self.begin = {t[:-1]: k for t, k in terms.items() if t[-1] == "*"}.get
 
-    def present(self, text: str | None) -> np.ndarray:
-        """Numbers of the text's terms, each once, and that of an unknown one."""
-        words = set(words_of(text))
-        begins = {w[:PREFIX] for w in words if len(w) > PREFIX}
-        return np.fromiter(chain(map(self.whole, words, repeat(self.none)), map(self.begin, begins, repeat(self.none))), np.int64, len(words) + len(begins))
-
     def counted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the text's known terms, ascending, their counts)."""
         words, begins = Counter(words_of(text)), {}
@@ -152,7 +146,10 @@ class Index:
         """(term numbers, weights of unit length), or None where no term is known."""
         if "known" not in vars(self):
             self.known = _Known(self.terms)
-        numbers, counts = self.known.counted(text)
+        return self.weigh(*self.known.counted(text), left_out)
+
+    def weigh(self, numbers: np.ndarray, counts: np.ndarray, left_out: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same from the numbers and counts of a text's terms."""
         if not len(numbers):
             return None
         weights = (1 + np.log(counts)) * self.idf[numbers] * (self.weighing[numbers] if left_out is None else self.relevance(numbers, left_out))
@@ -252,6 +249,8 @@ class Model:
     steps: tuple[np.ndarray, np.ndarray] = (np.empty(0), np.empty(0))
     zero_score: float = 0.0
     shared: object = None
+    #: The documents that the model was fitted on: (doc_id, held_out, numbers, counts) of their terms.
+    documents: DataFrame | None = None
 
     def share(self, spark: SparkSession):
         """The index as a broadcast, made once."""
@@ -261,11 +260,14 @@ class Model:
 
     def on_executors(self, spark: SparkSession) -> Callable[[], Model]:
         """What gives a worker this model; only the broadcast's name and the steps are shipped."""
-        shared, steps, zero = self.share(spark), self.steps, self.zero_score
+        shared, steps, zero = self.share(spark), self.steps, self.zero_score  # and not the documents
         return lambda: Model(shared.value, steps, zero)
 
     def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
-        vector = self.index.vector(text)
+        return self.judge(self.index.vector(text))
+
+    def judge(self, vector: tuple[np.ndarray, np.ndarray] | None) -> tuple[float, list[tuple[float, int]]]:
+        """(score, nearest examples) of a text's vector."""
         near = self.index.nearest(*vector, NEIGHBOURS) if vector else []
         if not near:
             return self.zero_score, near
@@ -330,23 +332,20 @@ def _vocabulary(examples: DataFrame) -> pa.Table:
     return counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic")).orderBy("term").toArrow()
 
 
-def _document_frequencies(docs: DataFrame, shared, n: int, text_col: str) -> tuple[int, np.ndarray]:
-    """Number of documents, and of those that hold each term of the broadcast vocabulary."""
+def _numbered(docs: DataFrame, shared, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, held_out, numbers, counts) of every row, by the broadcast vocabulary: texts are read once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts, seen = _Known(shared.value), np.zeros(n + 1, np.int64), 0
+        known = _Known(shared.value)
         for batch in batches:
-            for text in batch.column(0):
-                counts[known.present(text.as_py())] += 1
-                seen += 1
-        counts[n] = seen  # where words without a term were counted
-        hit = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(counts[hit])], names=["k", "n"])
+            found = [known.counted(text.as_py()) for text in batch.column(2)]
+            ends = np.cumsum([0, *(len(numbers) for numbers, _ in found)]).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(ends, np.concatenate([f[i] for f in found] or [np.empty(0)]).astype(np.int32)) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], names=["doc_id", "held_out", "numbers", "counts"])
 
-    found = docs.select(text_col).mapInArrow(run, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(n + 1, np.int64)
-    counts[found["k"].to_numpy()] = found["n"].to_numpy()
-    return int(counts[n]), counts[:n]
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col), is_held_out(F.col(id_col)).alias("held_out"), F.col(text_col))
+    return cut(rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, numbers array<int>, counts array<int>"), "document-terms")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -360,7 +359,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     words = _vocabulary(examples)
     index = Index(terms={t: i for i, t in enumerate(words["term"].to_pylist())}, base_rate=n_toxic / (n_toxic + clean_weight * (n - n_toxic)), clean_weight=clean_weight)
     vocabulary = spark.sparkContext.broadcast(index.terms)
-    n_docs, df = _document_frequencies(docs, vocabulary, len(index.terms), text_col)
+    documents = _numbered(docs, vocabulary, id_col, text_col)
+    n_docs, df = documents.count(), np.zeros(len(index.terms), np.int64)
+    held = documents.select(F.explode("numbers").alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    df[held["k"].to_numpy()] = held["n"].to_numpy()
     index.n, index.n_toxic = words["n"].to_numpy().astype(np.int32), words["n_toxic"].to_numpy().astype(np.int32)
     index.idf = np.log((1 + n_docs) / (1 + df)) + 1
     index.weighing = index.relevance(np.arange(len(index.terms)), None)
@@ -378,7 +380,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     found = found.take(np.lexsort((found["key"].to_numpy(), found["id"].to_numpy()))).combine_chunks()
     seen = int(found["toxic"].to_numpy().sum())
     zeros = n_toxic - seen, clean_weight * (n - len(found) - n_toxic + seen)
-    model = Model(index, zero_score=(zeros[0] + index.base_rate) / (zeros[0] + zeros[1] + 1))
+    model = Model(index, zero_score=(zeros[0] + index.base_rate) / (zeros[0] + zeros[1] + 1), documents=documents)
     if not len(found):
         return model
     starts = np.r_[0, np.cumsum(found["numbers"].combine_chunks().value_lengths().to_numpy())]
@@ -408,27 +410,48 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
+_SCORED = "held_out boolean, score double, predicted int, evidence array<struct<example:bigint,cosine:double,toxic:int>>"
+
+
+def _scored(ids: pa.Array, held_out: pa.Array, results: list[tuple[float, list[tuple[float, int]]]], index: Index) -> pa.RecordBatch:
+    shown = [pair for _, near in results for pair in near[:EVIDENCE]]
+    at = np.array([i for _, i in shown], np.int64)
+    parts = pa.StructArray.from_arrays([pa.array(index.ids[at]), pa.array([c for c, _ in shown], pa.float64()), pa.array(index.labels[at].astype(np.int32))], names=["example", "cosine", "toxic"])
+    evidence = pa.ListArray.from_arrays(np.cumsum([0, *(min(EVIDENCE, len(near)) for _, near in results)]).astype(np.int32), parts)
+    scores = [s for s, _ in results]
+    return pa.RecordBatch.from_arrays([ids, held_out, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), evidence], names=["doc_id", "held_out", "score", "predicted", "evidence"])
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, held_out, score, predicted, evidence (nearest examples)."""
     given = model.on_executors(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = given()
-        ids, labels = model.index.ids, model.index.labels
         for batch in batches:
-            results = [model.score(t.as_py()) for t in batch.column(2)]
-            scores = pa.array([s for s, _ in results], pa.float64())
-            shown = [pair for _, near in results for pair in near[:EVIDENCE]]
-            at = np.array([i for _, i in shown], np.int64)
-            parts = pa.StructArray.from_arrays([pa.array(ids[at]), pa.array([c for c, _ in shown], pa.float64()), pa.array(labels[at].astype(np.int32))], names=["example", "cosine", "toxic"])
-            evidence = pa.ListArray.from_arrays(np.cumsum([0, *(min(EVIDENCE, len(near)) for _, near in results)]).astype(np.int32), parts)
-            predicted = pa.array([int(s >= 0.5) for s, _ in results], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), scores, predicted, evidence], names=["doc_id", "held_out", "score", "predicted", "evidence"])
+            yield _scored(batch.column(0), batch.column(1), [model.score(t.as_py()) for t in batch.column(2)], model.index)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), is_held_out(F.col(id_col)).alias("held_out"), F.col(text_col)).mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, score double, predicted int, evidence array<struct<example:bigint,cosine:double,toxic:int>>"
-    )
+    return docs.select(F.col(id_col), is_held_out(F.col(id_col)).alias("held_out"), F.col(text_col)).mapInArrow(run, f"doc_id {kind}, {_SCORED}")
+
+
+def score_fitted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The same for the table that the model was fitted on, whose texts need no second reading."""
+    if model.documents is None:
+        return score(docs, model, id_col, text_col)
+    given = model.on_executors(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = given()
+        for batch in batches:
+            numbers, counts = batch.column(2), batch.column(3)
+            ends = numbers.offsets.to_numpy()
+            flat, n = numbers.values.to_numpy().astype(np.int64), counts.values.to_numpy()
+            results = [model.judge(model.index.weigh(flat[a:b], n[a:b])) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            yield _scored(batch.column(0), batch.column(1), results, model.index)
+
+    kind = model.documents.schema["doc_id"].dataType.simpleString()
+    return model.documents.mapInArrow(run, f"doc_id {kind}, {_SCORED}")
 
 
 def remove_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -446,4 +469,4 @@ def remove_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataF
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return score(docs, fit(docs, table(spark, sf_dir, "labels")))
+    return score_fitted(docs, fit(docs, table(spark, sf_dir, "labels")))

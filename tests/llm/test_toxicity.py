@@ -50,6 +50,7 @@ def test_held_out_accuracy(fitted):
     assert sum(r.predicted == toxic[r.doc_id] for r in held) >= 0.97 * len(held)
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
     assert all(e.toxic in (0, 1) and 0 < e.cosine <= 1 for r in rows for e in r.evidence)
+    assert sorted(map(tuple, tox.score_fitted(docs, index).collect()), key=str) == sorted(map(tuple, rows), key=str)
     kept = {r.doc_id for r in tox.remove_toxic(docs, index).collect()}
     assert kept == {r.doc_id for r in rows if not r.predicted} and tox.remove_toxic(docs, index).columns == docs.columns
 
@@ -130,7 +131,10 @@ def test_odd_inputs(spark, docs_of, fitted):
     assert len(rows) == len(ODD) + 2 and rows[0].held_out is False and rows[0].score == index.zero_score and rows[-1].score == rows[-2].score > 0.5
     none = tox.fit(docs_of(["a"]), spark.createDataFrame([], "doc_id bigint, toxic int"))
     assert [r.score for r in tox.score(docs_of(["a", None]), none).collect()] == [0.0, 0.0]
-    assert tox.score(docs_of([]), index).count() == 0
+    assert tox.score(docs_of([]), index).count() == 0 and tox.score_fitted(docs_of(["a", None]), none).count() == 2
+    wordless = docs_of(["", None, "!!", "..."])
+    model = tox.fit(wordless, spark.createDataFrame([(i, 1) for i in range(4)], "doc_id bigint, toxic int"))
+    assert [r.score for r in tox.score_fitted(wordless, model).collect()] == [model.zero_score] * 4
 
 
 def test_isotonic():
