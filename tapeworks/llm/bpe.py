@@ -71,6 +71,15 @@ _CAPITALS |= {c: c + 32 for c in range(0x10D50, 0x10D66)} | {c: c + 27 for c in
 _FIRST_NEWER = chr(min(int(r.partition("-")[0], 16) for r in _NEWER))
 
 
+def _has_newer(text: str) -> bool:
+    """Whether a text may hold signs that need the exact tables; quick for Latin ones."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return max(text) >= _FIRST_NEWER
+    return False
+
+
 @lru_cache(maxsize=1)
 def _word_finder():
     """Finds all words of a text."""
@@ -80,7 +89,7 @@ def _word_finder():
     whole = regex.compile(rf"{_CONTRACTIONS}|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+").findall
     exact = regex.compile(rf"(?V1){_CONTRACTIONS}|[\p{{L}}--[{newer}]]+|[\p{{N}}--[{newer}]]|(?:[{newer}]|[^{_SPACE}\p{{L}}\p{{N}}])+").findall
     ascii_only = regex.compile(rf"{_CONTRACTIONS}|[a-z]+|[0-9]|[^{_SPACE}a-z0-9]+").findall
-    return lambda text: ascii_only(text) if text.isascii() else whole(text) if max(text) < _FIRST_NEWER else exact(text)
+    return lambda text: ascii_only(text) if text.isascii() else exact(text) if _has_newer(text) else whole(text)
 
 
 class _Memo(dict):
@@ -185,7 +194,7 @@ class Codec:
                 if not piece.isascii():
                     # lower case sign by sign: no final sigma
                     piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
-                    if max(piece, default="") >= _FIRST_NEWER:
+                    if _has_newer(piece):
                         piece = piece.translate(_CAPITALS)
                 yield list(chain.from_iterable(map(self.words.__getitem__, self.find_words(piece.lower()))))
 
