@@ -76,12 +76,13 @@ def terms_of(text: str | None) -> Counter[str]:
 
 
 class _Known:
-    """Numbers of the terms of a vocabulary; that of an unknown one is their number."""
+    """Numbers of the terms of a vocabulary, given in order as lines; that of an unknown one is their number."""
 
-    def __init__(self, terms: dict[str, int]) -> None:
+    def __init__(self, packed: str) -> None:
+        terms = packed.split("\n") if packed else []
         self.none = len(terms)
-        self.whole = {t: k for t, k in terms.items() if t[-1] != "*"}.get
-        self.begin = {t[:-1]: k for t, k in terms.items() if t[-1] == "*"}.get
+        self.whole = {t: k for k, t in enumerate(terms) if t[-1] != "*"}.get
+        self.begin = {t[:-1]: k for k, t in enumerate(terms) if t[-1] == "*"}.get
 
     def counted(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of the text's known terms, ascending, their counts)."""
@@ -129,8 +130,12 @@ class Index:
     base_rate: float = 0.0
     clean_weight: float = 1.0
 
+    def packed(self) -> str:
+        return self.terms if isinstance(self.terms, str) else "\n".join(self.terms)
+
     def __getstate__(self) -> dict:
-        return {k: v for k, v in vars(self).items() if k != "known"}
+        """Workers get the terms as one text, of which they make what they look words up in."""
+        return {k: v for k, v in vars(self).items() if k != "known"} | {"terms": self.packed()}
 
     def relevance(self, numbers: np.ndarray, left_out: int | None) -> np.ndarray:
         """Of terms, by the examples that have them; ``left_out`` is the label of one that has no say."""
@@ -145,7 +150,9 @@ class Index:
     def vector(self, text: str | None, left_out: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
         """(term numbers, weights of unit length), or None where no term is known."""
         if "known" not in vars(self):
-            self.known = _Known(self.terms)
+            self.known = _Known(self.packed())
+            if isinstance(self.terms, str):
+                self.terms = ""
         return self.weigh(*self.known.counted(text), left_out)
 
     def weigh(self, numbers: np.ndarray, counts: np.ndarray, left_out: int | None = None) -> tuple[np.ndarray, np.ndarray] | None:
@@ -358,7 +365,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return Model(Index())
     words = _vocabulary(examples)
     index = Index(terms={t: i for i, t in enumerate(words["term"].to_pylist())}, base_rate=n_toxic / (n_toxic + clean_weight * (n - n_toxic)), clean_weight=clean_weight)
-    vocabulary = spark.sparkContext.broadcast(index.terms)
+    vocabulary = spark.sparkContext.broadcast(index.packed())
     documents = _numbered(docs, vocabulary, id_col, text_col)
     n_docs, df = documents.count(), np.zeros(len(index.terms), np.int64)
     held = documents.select(F.explode("numbers").alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n")).toArrow()
