@@ -16,7 +16,6 @@ def test_stages_equal_brute_force(spark):
 
     clean = stages["toxicity"](spark, docs, SF)
     index = toxicity.fit(docs, table(spark, SF, "labels"))
-    index.prepare()
     assert clean.columns == columns
     rows = {r.doc_id: r for r in docs.collect()}
     assert {r.doc_id for r in clean.collect()} == {i for i, r in rows.items() if index.score(r.text)[0] < 0.5}
