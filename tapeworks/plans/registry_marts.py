@@ -15,6 +15,9 @@ from tapeworks.plans.tape import TAPE_SQL, events, load, tape
 
 #: Products that the made-up raw messages follow; events of the fifth type are another product's.
 FOLLOWED = ("click", "purchase", "signup", "view")
+#: Synthetic ids of that feed: every 500th message, from the second on, bears one. It is itself the id
+#: of such a message, so that no other event can have it; the model's own ids are real ones in long tables.
+TEST_TRADE_IDS = (1,)
 _FOLLOWED_SQL = ", ".join(f"'{p}'" for p in FOLLOWED)
 
 
@@ -27,7 +30,7 @@ def _trades_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = e.select(
         F.when(F.col("k") % 20 == 0, F.lit(0)).otherwise(F.col("event_id") + 1).cast("bigint").alias("sequence"),
         F.col("event_type").alias("product_id"),
-        F.when(F.col("event_id") % 500 == 1, F.lit(config.SYNTHETIC_TRADE_IDS[1])).otherwise(F.col("event_id")).cast("bigint").alias("trade_id"),
+        F.when(F.col("event_id") % 500 == 1, F.lit(TEST_TRADE_IDS[0])).otherwise(F.col("event_id")).cast("bigint").alias("trade_id"),
         text(F.col("cents")).alias("price"),
         text(F.col("k") + 1).alias("size"),
         F.when(F.col("user_id") % 2 == 0, "buy").otherwise("sell").alias("side"),
@@ -48,7 +51,7 @@ SELECT trade_id, product_id, sequence, (cents / 100.0)::DOUBLE AS price, (lots /
 FROM tape WHERE product_id IN ({_FOLLOWED_SQL}) AND trade_id % 500 <> 1""")
 def stage_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw messages to the trades fact: typed, filtered, the earliest arrival of each id."""
-    found = staging.with_taker_side(staging.stage_trades(_trades_raw(spark, sf_dir), FOLLOWED))
+    found = staging.with_taker_side(staging.stage_trades(_trades_raw(spark, sf_dir), FOLLOWED, TEST_TRADE_IDS))
     return plain(found, *"trade_id product_id sequence price size notional side taker_side maker_order_id taker_order_id is_backfilled ingest_lag_ms event_minute event_date".split())
 
 
@@ -56,7 +59,7 @@ def stage_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT product_id, trade_id, k FROM tape UNION ALL SELECT product_id, trade_id, k FROM tape WHERE k % 7 = 0) WHERE product_id IN ({_FOLLOWED_SQL}) AND trade_id % 500 <> 1 GROUP BY 1""")
 def type_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed trades before deduplication, as the quality mart counts them."""
-    typed = staging.type_trades(_trades_raw(spark, sf_dir), FOLLOWED)
+    typed = staging.type_trades(_trades_raw(spark, sf_dir), FOLLOWED, TEST_TRADE_IDS)
     return typed.groupBy("product_id").agg(F.count(F.lit(1)).alias("typed_rows"), (F.count(F.lit(1)) - F.count_distinct("trade_id")).alias("copies"), F.count_if(F.col("maker_order_id").isNull()).alias("without_maker"))
 
 
@@ -66,7 +69,7 @@ SELECT product_id, event_hour, n AS trades_received, b - a + 1 AS trades_expecte
 def data_quality_of_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of staged trades, with the copies that staging dropped counted before it did."""
     raw = _trades_raw(spark, sf_dir)
-    found = quality.data_quality(staging.stage_trades(raw, FOLLOWED), staging.type_trades(raw, FOLLOWED))
+    found = quality.data_quality(staging.stage_trades(raw, FOLLOWED, TEST_TRADE_IDS), staging.type_trades(raw, FOLLOWED, TEST_TRADE_IDS))
     return plain(found, *"product_id event_hour trades_received trades_expected trades_missing duplicates_removed backfilled_trades".split())
 
 
@@ -176,7 +179,7 @@ def column_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rows offend each check on columns."""
     t = tape(spark, sf_dir)
     spoilt = t.withColumn("taker_side", F.when((F.col("size") * 100 - 1) % 11 == 0, F.when(F.col("side") == "buy", F.col("side"))).otherwise(F.col("taker_side")))
-    staged = staging.stage_trades(_trades_raw(spark, sf_dir), FOLLOWED)
+    staged = staging.stage_trades(_trades_raw(spark, sf_dir), FOLLOWED, TEST_TRADE_IDS)
     found = {
         "accepted_sides": checks.not_accepted(t, "side", ("buy",)),
         "price_in_range": checks.out_of_range(t, "price", "2", "100"),
