@@ -38,7 +38,7 @@ def test_query_equals_sql(spark, sql, name):
         assert values
 
 
-@pytest.mark.parametrize("name", ["data_quality_of_raw", "column_checks", "stage_trades"])
+@pytest.mark.parametrize("name", ["data_quality_of_raw", "column_checks", "stage_trades", "type_trades"])
 def test_events_may_have_synthetic_ids(spark, tmp_path, name):
     """Long tables reach the ids that the model knows as synthetic: here they are events like others."""
     con = duckdb.connect()
